@@ -94,16 +94,27 @@ def global_masters(
 def capture_documents(
     pages: DataFrame, work: DataFrame, base_url: str = "https://example.org", ignore_null_extra: bool = False
 ) -> DataFrame:
-    """Documents of the matches on a work list out of stored pages.
+    """Documents of the matches on a work list of the season table.
 
     The work list is the broadcast side, so the pages, by far the largest input,
     are filtered where they lie and only the small extracts are shuffled. Its
     size is bounded by the season table: seasons x weeks x 10 ids.
     """
-    work = work.dropDuplicates(["match_id"])
-    wanted = pages.join(F.broadcast(work), "match_id")
+    return _capture(pages, F.broadcast(work.dropDuplicates(["match_id"])), base_url, ignore_null_extra)
+
+
+def capture_listed(
+    pages: DataFrame, work: DataFrame, base_url: str = "https://example.org", ignore_null_extra: bool = False
+) -> DataFrame:
+    """M9: the same for a work list of any size, such as the cards of result
+    pages. Spark broadcasts it only if its measured size allows."""
+    return _capture(pages, work.dropDuplicates(["match_id"]), base_url, ignore_null_extra)
+
+
+def _capture(pages: DataFrame, work: DataFrame, base_url: str, ignore_null_extra: bool) -> DataFrame:
+    wanted = pages.join(work.select("match_id"), "match_id", "left_semi")
     tabs = extract_tabs(with_elements(wanted.select("match_id", "tab", "fetched_at", "visible_text", "html")))
-    docs = assemble_documents(tabs, ignore_null_extra).join(F.broadcast(work), "match_id")
+    docs = assemble_documents(tabs, ignore_null_extra).join(work, "match_id")
     week = F.coalesce(F.col("matchweek"), F.col("page_matchweek"))
     return add_lineage(docs, F.col("season"), week, base_url).select(
         "match_id", "url", "season", "matchweek", "scraped_at", "match_info",
