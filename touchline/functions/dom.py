@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, functions as F
 
 from touchline import schemas
-from touchline.functions.text import strip
+from touchline.functions.text import let, strip
 
 Selector = Callable[[Column], Column]
 
@@ -87,11 +87,13 @@ def goal_entries(elements: Column, items: Column) -> Column:
     """``{scorer, assist}`` of goal items; the whole text when an item has
     no parts; blank items are dropped."""
     def entry(li: Column) -> Column:
-        scorer = select_first(elements, has_class("scoreboard-event__scorer"), li)
-        assist = select_first(elements, has_class("scoreboard-event__assist"), li)
-        return F.struct(
-            F.coalesce(strip(scorer["visible"]), strip(li["visible"])).alias("scorer"),
-            F.when(scorer.isNotNull(), strip(assist["visible"])).alias("assist"),
+        scorer = select_first(elements, has_class("scoreboard-event__scorer"), li)["visible"]
+        assist = select_first(elements, has_class("scoreboard-event__assist"), li)["visible"]
+        return let(
+            strip(scorer),
+            lambda s: F.struct(
+                F.coalesce(s, strip(li["visible"])).alias("scorer"), F.when(s.isNotNull(), strip(assist)).alias("assist")
+            ),
         )
 
     return F.transform(F.filter(items, lambda li: strip(li["visible"]) != ""), entry)

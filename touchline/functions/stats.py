@@ -11,7 +11,6 @@ from touchline.functions.text import WHITESPACE, strip
 # fraction, exponent. A plain cast would also take "5f" or "0x1p3".
 _DIGITS = r"\d+(?:_\d+)*"
 NUMBER_PATTERN = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
-INFINITY_PATTERN = r"(?i)^[+-]?inf(?:inity)?$"
 NAN_PATTERN = r"(?i)^[+-]?nan$"
 
 # Fixed value: a count with its percentage, anywhere in the text.
@@ -20,11 +19,11 @@ PAIR_PATTERN = r"([\d\.]+)\s*\(([\d\.]+)%\)"
 
 def number(text: Column) -> Column:
     """DOUBLE of a numeric text, else NULL. "Not a number" is NULL too."""
-    return F.when(
-        text.rlike(NUMBER_PATTERN), F.translate(text, "_", "").try_cast("double")
-    ).when(
-        text.rlike(INFINITY_PATTERN),
-        F.when(F.startswith(text, F.lit("-")), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))),
+    low = F.lower(text)
+    return (
+        F.when(text.rlike(NUMBER_PATTERN), F.translate(text, "_", "").try_cast("double"))
+        .when(low.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf")))
+        .when(low.isin("-inf", "-infinity"), F.lit(float("-inf")))
     )
 
 
@@ -58,15 +57,14 @@ def int_value(s: Column) -> Column:
     return F.when(s.rlike(r"^\d+$"), s.try_cast("double"))
 
 
-def scalar_text(s: Column) -> Column:
-    """What has to be a number: the text without its ``km`` or ``%`` suffix.
-    A text with a suffix is a number without it or not at all."""
-    low = F.lower(s)
-    return (
-        F.when(F.endswith(low, F.lit("km")), strip(F.replace(low, F.lit("km"), F.lit(""))))
-        .when(F.endswith(s, F.lit("%")), strip(F.rtrim(s, F.lit("%"))))
-        .otherwise(s)
-    )
+# Every "km" of a text that ends in it, or the percent signs at the end.
+_UNIT_PATTERN = r"(?s)km(?=.*km\z|\z)|%+\z"
+
+
+def scalar_text(raw: Column) -> Column:
+    """What has to be a number: the text without its unit. A text with a unit
+    is a number without it or not at all."""
+    return strip(F.regexp_replace(F.lower(strip(raw)), _UNIT_PATTERN, ""))
 
 
 # The usual forms in one pattern: a number, alone or with one suffix. A match
@@ -86,7 +84,7 @@ def stat_value(raw: Column) -> Column:
         F.when(raw.isNull(), F.lit(None).cast("double"))
         .when(raw.rlike(_USUAL_PATTERN), F.regexp_extract(raw, _USUAL_PATTERN, 1).try_cast("double"))
         .when(_is_pair(raw), F.regexp_extract(raw, PAIR_PATTERN, 1).try_cast("double"))
-        .when(raw.rlike(_UNUSUAL_PATTERN), number(scalar_text(strip(raw))))
+        .when(raw.rlike(_UNUSUAL_PATTERN), number(scalar_text(raw)))
     )
 
 

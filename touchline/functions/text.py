@@ -16,17 +16,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     Inside a higher-order function nothing shares repeated sub-expressions, so
     a costly value that is used several times is bound through a lambda.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-# A text that begins or ends with anything but a plain printable character.
-_ROUGH_EDGE = r"^[^\x21-\x7e]|[^\x21-\x7e]\z"
+    return F.get(F.transform(F.array(value), lambda bound: body(bound)), F.lit(0))
 
 
 def strip(c: Column) -> Column:
-    """Without outer white space. The trim by character set is costly, so only
-    texts with a suspect edge go through it."""
-    return F.when(c.rlike(_ROUGH_EDGE), F.btrim(c, F.lit(WHITESPACE))).otherwise(c)
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def blank_to_null(c: Column) -> Column:

@@ -28,7 +28,18 @@ def _stripped(elements: Column) -> Column:
 
 def _team_names(elements: Column, selectors: list, within: Column | None = None) -> Column:
     """texts of the first selector that finds both teams."""
-    return tx.first_pair(*[_stripped(select_all(elements, s, within)) for s in selectors])
+    found = [let(_stripped(select_all(elements, s, within)), tx.first_pair) for s in selectors]
+    return F.coalesce(*found)
+
+
+def _score(elements: Column, within: Column | None = None) -> Column:
+    """Both scores of the first element that shows any, text looked up once."""
+
+    def scores(text: Column) -> Column:
+        home, away = tx.score_from_text(text)
+        return F.struct(home.alias("home"), away.alias("away"))
+
+    return let(_text(select_first(elements, class_like("score"), within)), scores)
 
 
 def match_cards(elements: Column) -> Column:
@@ -42,7 +53,7 @@ def match_cards(elements: Column) -> Column:
         names = _team_names(
             es, [has_class("mc-summary__team-name"), class_like("team-name"), has_class("team-name")], c
         )
-        score = tx.score_from_text(_text(select_first(es, class_like("score"), c)))
+        score = _score(es, c)
         item = closest(es, has_class("match-list-item"), c)
         date = select_first(es, has_class("match-list-item__date"), item)
         return let(
@@ -51,9 +62,9 @@ def match_cards(elements: Column) -> Column:
                 tx.match_id_from_href(c["href"]).alias("match_id"),
                 F.get(n, F.lit(0)).alias("home_team"),
                 F.get(n, F.lit(1)).alias("away_team"),
-                score[0].alias("home_score"),
-                score[1].alias("away_score"),
-                blank_to_null(_text(date)).alias("date"),
+                score["home"].alias("home_score"),
+                score["away"].alias("away_score"),
+                let(_text(date), blank_to_null).alias("date"),
             ),
         )
 
@@ -88,20 +99,19 @@ def match_header(elements: Column) -> Column:
             class_like("team-name"), has_class("mc-summary__team-name"),
         ],
     )
-    home_score, away_score = tx.score_from_text(_text(select_first(elements, class_like("score"))))
     date = select_first(elements, either(has_class("match-header__date"), class_like("match-date"), is_tag("time")))
     venue = select_first(elements, class_like("venue"))
     referee = select_first(elements, class_like("referee"))
     return let(
-        names,
-        lambda n: F.create_map(
-            F.lit("home_team"), F.get(n, F.lit(0)),
-            F.lit("away_team"), F.get(n, F.lit(1)),
-            F.lit("home_score"), home_score.cast("string"),
-            F.lit("away_score"), away_score.cast("string"),
-            F.lit("date"), blank_to_null(_text(date)),
-            F.lit("venue"), blank_to_null(_text(venue)),
-            F.lit("referee"), tx.strip_label(referee["text"]),
+        F.struct(names.alias("names"), _score(elements).alias("score")),
+        lambda f: F.create_map(
+            F.lit("home_team"), F.get(f["names"], F.lit(0)),
+            F.lit("away_team"), F.get(f["names"], F.lit(1)),
+            F.lit("home_score"), f["score"]["home"].cast("string"),
+            F.lit("away_score"), f["score"]["away"].cast("string"),
+            F.lit("date"), let(_text(date), blank_to_null),
+            F.lit("venue"), let(_text(venue), blank_to_null),
+            F.lit("referee"), let(referee["text"], tx.strip_label),
         ),
     )
 
@@ -112,7 +122,10 @@ def page_matchweek(elements: Column, visible_text: Column) -> Column:
         has_class("match-header__gameweek"), class_like("matchweek"),
         class_like("gameweek"), has_class("mc-summary__info"),
     ]
-    return tx.matchweek_from_text([select_first(elements, p)["text"] for p in places], visible_text)
+    labels = F.struct(*[select_first(elements, p)["text"].alias(f"p{i}") for i, p in enumerate(places)])
+    return let(
+        labels, lambda found: tx.matchweek_from_text([found[f"p{i}"] for i in range(len(places))], visible_text)
+    )
 
 
 def stat_rows(elements: Column) -> Column:
@@ -292,12 +305,7 @@ def match_events(elements: Column) -> Column:
 
     def items(testid: str) -> Column:
         box = select_first(elements, both(is_tag("ul"), lambda e: e["testid"] == testid))
-        return let(
-            box,
-            lambda b: F.coalesce(
-                F.when(b.isNotNull(), select_all(elements, is_tag("li"), b)), F.filter(elements, lambda e: F.lit(False))
-            ),
-        )
+        return let(box, lambda b: select_all(elements, both(is_tag("li"), lambda e: b.isNotNull()), b))
 
     goals = [
         goal_entries(elements, items(f"{side}TeamGoals")).alias(f"{side}_goals") for side in ("home", "away")
@@ -307,7 +315,7 @@ def match_events(elements: Column) -> Column:
         for colour in ("Yellow", "Red")
         for side in ("home", "away")
     ]
-    return F.struct(tx.half_time_score(strip(half_time["visible"])).alias("half_time_score"), *goals, *cards)
+    return F.struct(let(strip(half_time["visible"]), tx.half_time_score).alias("half_time_score"), *goals, *cards)
 
 
 def extract_tabs(pages: DataFrame) -> DataFrame:

@@ -61,22 +61,17 @@ def to_wide(flat: DataFrame, names: Sequence[str], text: bool = False) -> DataFr
 def stat_pivot(long: DataFrame, names: Sequence[str]) -> DataFrame:
     """One wide row per match from long rows.
 
-    The names are given, so no extra job looks for them, and both sides of the
-    shuffle aggregate: a match with very many rows shrinks before it travels.
+    The names are given, so no extra job looks for them. There is one shuffle,
+    on the match, and it carries partial results: a match with very many rows
+    is one row per task before it travels.
     """
-    column = F.concat_ws("_", "side", "stat")
-    wanted = [f"{side}_{name}" for side in _SIDES for name in names]
-    out = (
-        long.where(F.col("stat").isin(*names))
-        .withColumn("column", column)
-        .groupBy("match_id")
-        .pivot("column", wanted)
-        .agg(F.max("value").alias("v"), F.max("pct").alias("p"))
-    )
-    picked = [F.col("match_id")]
-    for c in wanted:
-        picked += [F.col(f"{c}_v").alias(c), F.col(f"{c}_p").alias(f"{c}_pct")]
-    return out.select(*picked)
+    columns = []
+    for side in _SIDES:
+        for name in names:
+            here = (F.col("side") == side) & (F.col("stat") == name)
+            columns.append(F.max(F.when(here, F.col("value"))).alias(f"{side}_{name}"))
+            columns.append(F.max(F.when(here, F.col("pct"))).alias(f"{side}_{name}_pct"))
+    return long.where(F.col("stat").isin(*names)).groupBy("match_id").agg(*columns)
 
 
 def stat_names(long: DataFrame, limit: int = 2000) -> list[str]:

@@ -9,13 +9,18 @@ from pyspark.sql import SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set the one SQL option the map operators need.
+    """Set the SQL options the operators need.
 
     Statistics maps follow "a later entry replaces the value of an earlier one
     and keeps its position", which is Spark's LAST_WIN policy. Under the default
     policy the same plans fail on a duplicate key instead of giving a wrong row.
+
+    The JVM leaves methods above 8000 bytes of code interpreted. Parsing several
+    statistics in one projection generates such methods; with the limit Spark
+    compiles their expressions as smaller ones.
     """
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
