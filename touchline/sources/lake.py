@@ -244,12 +244,13 @@ def read_layer(
     columns are added unless the layer stores them."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     raw = reader.parquet(path)
-    df = _with_source(raw, *[F.col(c) for c in raw.columns])
+    # The filters come before the row positions: Spark moves no filter below
+    # those, and would read every partition.
     if seasons is not None:
-        df = df.where(F.col("season").isin(*seasons))
+        raw = raw.where(F.col("season").isin(*seasons))
     if matchweeks is not None:
-        df = df.where(F.col("matchweek").isin(*matchweeks))
-    return df
+        raw = raw.where(F.col("matchweek").isin(*matchweeks))
+    return _with_source(raw, *[F.col(c) for c in raw.columns])
 
 
 def try_read_layer(spark: SparkSession, path: str, **kw) -> DataFrame | None:
