@@ -181,18 +181,16 @@ def read_csv_table(
     """Header CSV files by column name, with declared types.
 
     Files may have different columns in different order, so the distinct header
-    lines are found first and each gives one scan. Their number is checked.
+    lines are found first and each gives one scan. Their number is checked; the
+    file names beside them are what a scan lists on the driver anyway.
     Columns without a type in ``types`` are text. Missing-value texts are NULL,
     and ``2.0`` in an integer column is 2.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = (
         spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(paths)
-        .select(
-            "value", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK),
-            F.monotonically_increasing_id().alias(POSITION),
-        )
-        .where(F.col(BLOCK) == 0)
+        .where(F.col("_metadata.file_block_start") == 0)
+        .select("value", F.col("_metadata.file_path").alias(FILE), F.monotonically_increasing_id().alias(POSITION))
     )
     headers = (
         lines.groupBy(FILE).agg(F.min_by("value", POSITION).alias("header"))

@@ -130,21 +130,23 @@ def s8(spark, sf):
                        F.col("stats")["shots"]["away"]["value"].alias("shots"))
 
 
-@query("s9_source_order", "SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_orderkey) AS BIGINT) AS pos FROM orders")
-def s9(spark, sf):
-    """Row positions inside the files of a sorted table follow its order.
+_KEYS = ["l_orderkey", "l_linenumber"]
+_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+_LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
+
+
+def _keep_last_sql(source: str, columns: str = _LINE) -> str:
+    order = ", ".join(f"{c} DESC" for c in _ORDER)
+    return f"""SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {order}) AS rn
+  FROM {source}) WHERE rn = 1"""
+
 
-    Positions are counted per file and offset by the rows of the files before,
-    so no window runs over the whole table in one task.
-    """
+@query("s9_source_order", _keep_last_sql("lineitem"))
+def s9(spark, sf):
+    """The last row per key as the rows lie in the files of a sorted table."""
     path = scratch_dir(spark, "s9")
-    table(spark, sf, "orders").select("o_orderkey").orderBy("o_orderkey").write.parquet(path)
-    rows = spark.read.parquet(path).select(
-        "o_orderkey", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("i"))
-    files = rows.groupBy("file").agg(F.count("*").alias("n"))
-    before = files.alias("a").join(files.alias("b"), F.col("b.file") < F.col("a.file"), "left").groupBy("a.file").agg(
-        F.coalesce(F.sum("b.n"), F.lit(0)).alias("offset"))
-    return rows.join(before, "file").select("o_orderkey", (F.col("i") + F.col("offset") + 1).alias("pos"))
+    table(spark, sf, "lineitem").select(*_LINE.split(", "), "l_shipdate").orderBy(*_ORDER).write.parquet(path)
+    return dedupe.keep_last(lake.read_layer(spark, path), _KEYS, lake.SOURCE_ORDER).select(*_LINE.split(", "))
 
 
 _DIM = "(VALUES " + ", ".join(
@@ -317,17 +319,6 @@ def j4(spark, sf):
 
 # --- aggregation and de-duplication -------------------------------------------
 
-_KEYS = ["l_orderkey", "l_linenumber"]
-_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
-_LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
-
-
-def _keep_last_sql(source: str, columns: str = _LINE) -> str:
-    order = ", ".join(f"{c} DESC" for c in _ORDER)
-    return f"""SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {order}) AS rn
-  FROM {source}) WHERE rn = 1"""
-
-
 @query("a1_dedupe_keep_last_silver", _keep_last_sql("lineitem"))
 def a1(spark, sf):
     rows = table(spark, sf, "lineitem").select(*_LINE.split(", "), "l_shipdate")
