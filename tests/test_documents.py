@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from touchline.operators.documents import clean_documents, reserved_stats
 from touchline.operators.gold import all_perspectives, team_record

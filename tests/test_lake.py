@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from touchline.operators.dedupe import keep_last
 from touchline.sources import lake, sinks

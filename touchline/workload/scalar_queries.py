@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from touchline.functions import scores, stats, text as tx
 from touchline.functions.dom import category_of
 from touchline.operators import documents as docs_ops
-from touchline.operators.gold import _is_home, gold_columns, perspective, side_projection, team_filter, team_record
-from touchline.operators.silver import explode_stats, to_long
+from touchline.operators.gold import _is_home, perspective, side_projection, team_filter
+from touchline.operators.silver import explode_stats
 from touchline.plans.medallion import bronze_to_silver
 from touchline.workload import oracle as o
 from touchline.workload.registry import query
 from touchline.workload.tables import (
-    BASE_URL, STAT_NAMES, TEAM, documents, full_documents, matches, raw_stats, season_requests, state, table,
+    BASE_URL, STAT_NAMES, TEAM, documents, matches, raw_stats, state, table,
 )
 
 RAW_ROWS = o.with_(o.RAW)

@@ -8,7 +8,7 @@ from touchline import schemas
 from touchline.operators import dedupe, extract, masters
 from touchline.operators import state as state_ops
 from touchline.operators.counts import goal_count, layer_counts, player_count
-from touchline.operators.documents import add_lineage, clean_documents, flatten_documents, merge_stat_maps
+from touchline.operators.documents import clean_documents, flatten_documents, merge_stat_maps
 from touchline.operators.gold import all_perspectives, team_alias_match, team_record
 from touchline.operators.silver import stat_pivot, to_long, to_wide
 from touchline.plans import medallion as jobs
@@ -19,7 +19,7 @@ from touchline.workload import oracle as o
 from touchline.workload.registry import query
 from touchline.workload.scalar_queries import _LATEST_STATE
 from touchline.workload.tables import (
-    BASE_URL, STAT_NAMES, TEAM, documents, full_documents, matches, order_stats, raw_pages, raw_stats, result_pages,
+    BASE_URL, STAT_NAMES, TEAM, documents, full_documents, matches, raw_pages, raw_stats, result_pages,
     season_requests, state, table,
 )
 
