@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from touchline.llm import bpe, langid, packing, pii, secret_scan, toxicity
+from touchline.llm import (
+    ann_codes, bpe, langid, license_scan, ngram_join, oracles, packing, pii, secret_scan, topk_exact, toxicity,
+)
 from touchline.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +32,12 @@ def count_kind(spans: str, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+@query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its shingle set and its component."""
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its toxicity score."""
@@ -40,6 +48,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest integer inner products of every query vector."""
+    return topk_exact.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data."""
@@ -62,6 +76,23 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False).drop("ids")
 
 
+@query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its license phrases and labels."""
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    starts, base = F.col("places.start"), F.array_distinct("places.label")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"),
+        F.array_max(starts).cast("long").alias("last_word"),
+        F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, "found")), ",").alias("labels"),
+        "score",
+    )
+
+
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""
@@ -86,9 +117,22 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every query vector."""
+    return ann_codes.approximate_top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its predicted language."""
     docs = table(spark, sf_dir, "documents")
     found = langid.identify_languages(docs, langid.learn_languages(docs))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+ORACLES |= {
+    "op1_ngram_join": oracles.NGRAM_JOIN,
+    "op3_topk": oracles.EXACT_TOP_K,
+    "op6_licenses": oracles.LICENSES,
+}
