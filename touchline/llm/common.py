@@ -74,7 +74,10 @@ def map_texts(
                 columns += [pa.array(m, type=arrow.field(len(kept) + i).type) for i, m in enumerate(made)]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return docs.select(*kept, F.col(text).cast("string")).mapInArrow(run, schema)
+    own = "_text"
+    while own in kept:
+        own += "_"
+    return docs.select(*kept, F.col(text).cast("string").alias(own)).mapInArrow(run, schema)
 
 
 def bounded_ids(df: DataFrame, column: str, most: int) -> list:
