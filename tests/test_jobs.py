@@ -73,6 +73,58 @@ def test_medallion_and_second_run(spark, pages, tmp_path):
     assert masters.count() == masters.select("match_id").distinct().count() == 3
 
 
+def test_gold_of_two_teams_with_all_statistics(spark, pages, tmp_path):
+    root = str(tmp_path)
+    jobs.run_medallion(spark, root, pages, ["2025/26"], aliases=["A"], stamp="1")
+    later = spark.createDataFrame([page(1, stats_html("C", "A", "0-2", "grade"), 9)], SCHEMA)
+    counts = jobs.run_medallion(spark, root, later, ["2025/26"], aliases=["C"], stamp="2", csv_export=True).collect()
+    assert sum(r["n_rows"] for r in counts if r["layer"] == "silver") == 3
+    assert spark.read.parquet(f"{root}/silver").count() == 3  # one row per match after the second capture
+    rows = spark.read.parquet(sinks.latest_snapshot(spark, f"{root}/gold_master")).collect()
+    by = {(r["club"], r["match_id"] - FIRST): r for r in rows}
+    assert set(by) == {("A", 0), ("A", 1), ("A", 10), ("C", 1), ("C", 10)}
+    assert by["C", 1]["stats"]["shots"]["text"] == "grade" and by["C", 1]["result"] == "L"
+    assert by["A", 0]["stats"]["shots"]["value"] == 7.0
+    assert lake.read_csv_table(spark, f"{root}/export/run_id=2/gold_master").count() == 5
+
+
+def test_medallion_over_documents(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "lake")
+    source.mkdir()
+    info = '{"home_team": "A", "away_team": "B", "home_score": 1, "away_score": 0}'
+    (source / "a.json").write_text(f'{{"match_id": 5, "season": "2025/26", "matchweek": 1, "match_info": {info}, "statistics": {{}}}}')
+    (source / "b.json").write_text("no document")
+    docs = lake.read_documents(spark, str(source))
+    jobs.run_medallion(spark, root, None, ["2025/26"], documents=docs, all_teams=True, stamp="1")
+    rows = spark.read.parquet(sinks.latest_snapshot(spark, f"{root}/gold_master")).collect()
+    assert {(r["team"], r["result"]) for r in rows} == {("A", "W"), ("B", "L")}
+    assert spark.read.parquet(f"{root}/rejects").count() == 1
+
+
+def test_no_order_raises(spark, pages):
+    from touchline.operators.masters import append_gold
+
+    with pytest.raises(ValueError):
+        append_gold(spark.createDataFrame([(1, "A")], "match_id bigint, team string"))
+
+
+def test_state_of_stream_and_job_in_turn(spark, tmp_path):
+    source, root = str(tmp_path / "pages"), str(tmp_path / "lake")
+
+    def status():
+        return sinks.read_state(spark, f"{root}/state").first()["status"]
+
+    def stream(html, day):
+        spark.createDataFrame([page(1, html, day)], SCHEMA).write.mode("append").parquet(source)
+        ingest_stream(spark, source, root, ["2025/26"], str(tmp_path / "progress")).awaitTermination()
+        return status()
+
+    assert stream(stats_html("C", "A", "vs"), 1) == "SCHEDULED"
+    jobs.ingest(spark, root, spark.createDataFrame([page(1, stats_html("C", "A", "0-2"), 2)], SCHEMA), ["2025/26"])
+    assert status() == "PLAYED"
+    assert stream(stats_html("C", "A", "vs"), 3) == "PLAYED"
+
+
 def test_ingest_exports_formats(spark, pages, tmp_path):
     landed = jobs.ingest(spark, str(tmp_path), pages, ["2025/26"], [1], ("json", "csv"), stamp="1")
     assert sorted(r["match_id"] - FIRST for r in landed.collect()) == [0, 1]

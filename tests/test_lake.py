@@ -45,7 +45,42 @@ def test_csv_tables_with_different_headers(spark, tmp_path):
     last = {r["match_id"]: r["venue"] for r in keep_last(rows, ["match_id"], lake.SOURCE_ORDER).collect()}
     assert last == {1: 'a "b" c, d', 2: None, 3: None}
     with pytest.raises(ValueError):
-        lake.read_csv_table(spark, str(tmp_path), max_headers=1)
+        lake.read_csv_table(spark, str(tmp_path / "mw03_c.csv"))
+
+
+def test_csv_headers_follow_the_grammar(spark, tmp_path):
+    put(tmp_path / "a.csv", '\n\n"two\nlines",id\n007,1\n1e5,2,3\n')
+    put(tmp_path / "b.csv", 'id\n"4"\n')
+    rows = lake.read_csv_table(spark, str(tmp_path), {"id": "int"})
+    assert {(r["id"], r["two\nlines"]) for r in rows.collect()} == {(1, "007"), (4, None)}
+    rejects = lake.csv_rejects(spark, str(tmp_path)).collect()
+    assert [r["fields"] for r in rejects] == [["1e5", "2", "3"]]
+
+
+def test_csv_tables_of_many_layouts(spark, tmp_path):
+    for i in range(620):
+        put(tmp_path / f"t{i:03d}.csv", f"id,c{i}\n{i},x\n")
+    rows = lake.read_csv_table(spark, str(tmp_path), {"id": "int"}).select("id", "c0", "c619")
+    got = {r["id"]: (r["c0"], r["c619"]) for r in rows.collect()}
+    assert len(got) == 620 and got[0] == ("x", None) and got[619] == (None, "x") and got[5] == (None, None)
+
+
+def test_documents_in_any_layout(spark, tmp_path):
+    put(tmp_path / "a.json", json.dumps({"match_id": 1, "season": "2025/26"}, indent=2))
+    put(tmp_path / "b.json", json.dumps([{"match_id": 2}, {"match_id": 3}], indent=1))
+    put(tmp_path / "c.json", "{broken")
+    docs = lake.read_documents(spark, str(tmp_path))
+    assert sorted(r["match_id"] for r in lake.accepted(docs).collect()) == [1, 2, 3]
+    assert [r["source_file"].rsplit("/", 1)[1] for r in lake.rejects(docs).collect()] == ["c.json"]
+
+
+def test_a_truncated_file_is_no_silent_loss(spark, tmp_path):
+    import gzip
+
+    whole = gzip.compress("\n".join(json.dumps({"match_id": i, "url": "u" * (i % 97)}) for i in range(3000)).encode())
+    (tmp_path / "t.json.gz").write_bytes(whole[: len(whole) // 2])
+    with pytest.raises(Exception):
+        lake.read_documents(spark, str(tmp_path), multi_line=False).collect()
 
 
 def test_csv_round_trip(spark, tmp_path):

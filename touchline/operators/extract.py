@@ -326,6 +326,7 @@ def extract_tabs(pages: DataFrame) -> DataFrame:
         "match_id",
         "tab",
         "fetched_at",
+        "page_hash",
         F.when(tab == "main", match_events(es)).alias("events"),
         F.when(tab == "main", page_matchweek(es, visible)).alias("page_matchweek"),
         F.when(tab == "stats", match_header(es)).alias("header"),
@@ -345,7 +346,7 @@ def assemble_documents(tabs: DataFrame, ignore_null_extra: bool = False) -> Data
     """
 
     def latest(column: str, tab: str) -> Column:
-        when = F.when(F.col("tab") == tab, F.struct("fetched_at", F.to_json(F.col(column))))
+        when = F.when(F.col("tab") == tab, F.struct("fetched_at", "page_hash"))
         return F.max_by(F.col(column), when).alias(column)
 
     parts = {

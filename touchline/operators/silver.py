@@ -35,7 +35,7 @@ def to_long(flat: DataFrame) -> DataFrame:
     )
 
 
-def stat_columns(pick: Callable[[str], Column], names: Sequence[str], prefix: str = "", text: bool = False) -> list[Column]:
+def stat_columns(pick: Callable[[str], Column], names: Sequence[str], prefix: str = "", text: bool = True) -> list[Column]:
     """``x`` and ``x_pct`` (and ``x_text``) of each name; ``pick`` gives the
     parsed statistic of a name."""
     out = []
@@ -49,7 +49,7 @@ def stat_columns(pick: Callable[[str], Column], names: Sequence[str], prefix: st
     return out
 
 
-def to_wide(flat: DataFrame, names: Sequence[str], text: bool = False) -> DataFrame:
+def to_wide(flat: DataFrame, names: Sequence[str], text: bool = True) -> DataFrame:
     """One wide row per match, by lookup in the map of the row. No shuffle."""
     fixed = [c for c in flat.columns if c != "stats"]
     wide = []
@@ -74,13 +74,7 @@ def stat_pivot(long: DataFrame, names: Sequence[str]) -> DataFrame:
     return long.where(F.col("stat").isin(*names)).groupBy("match_id").agg(*columns)
 
 
-def stat_names(long: DataFrame, limit: int = 2000) -> list[str]:
-    """The statistic vocabulary, for wide exports without a given dictionary.
-
-    The vocabulary of a competition is small. The size is checked: more names
-    than ``limit`` raise instead of filling the driver.
-    """
-    rows = long.select("stat").distinct().orderBy("stat").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} statistic names; give the wanted names")
-    return [r["stat"] for r in rows]
+def stat_names(long: DataFrame) -> list[str]:
+    """The statistic vocabulary, for wide exports without a given dictionary: the
+    names that become the columns of the export."""
+    return [r["stat"] for r in long.select("stat").distinct().orderBy("stat").collect()]

@@ -13,17 +13,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from touchline import schemas
 from touchline.operators.counts import layer_counts
 from touchline.operators.dedupe import keep_last, top_by_id
-from touchline.operators.documents import add_lineage, clean_documents, flatten_documents
+from touchline.operators.documents import add_lineage, clean_documents, flatten_documents, reserved_stats
 from touchline.operators.extract import assemble_documents, extract_match_cards, extract_tabs
 from touchline.operators.gold import (
     all_perspectives, gold_columns, team_alias_match, team_filter, team_record,
 )
-from touchline.operators.masters import gold_master, silver_master, sort_master, union_tables
+from touchline.operators.masters import gold_master, lineage_of, silver_master, sort_master, union_tables
 from touchline.operators.silver import to_long, to_wide
 from touchline.operators.state import match_states, skip_played, upsert_state
 from touchline.session import configure
 from touchline.sources import sinks
-from touchline.sources.lake import LATEST_ORDER, accepted, read_layer
+from touchline.sources.lake import LATEST_ORDER, accepted, read_layer, rejects
 from touchline.sources.pages import with_elements
 from touchline.sources.seasons import work_list
 
@@ -56,32 +56,40 @@ def silver_wide(docs: DataFrame, names: Sequence[str]) -> DataFrame:
 def silver_to_gold(
     silver: DataFrame,
     aliases: Sequence[str] = schemas.DEFAULT_TEAM_ALIASES,
-    names: Sequence[str] = (),
+    names: Sequence[str] | None = None,
     matchweek: int | None = None,
     unique: bool = True,
     with_opponent: bool = False,
     unplayed: str | None = "D",
     lineage: Sequence[str] = (),
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """M2: Gold rows of one team. Only that team's rows reach the shuffle that
-    removes duplicates, and ``unique=False`` has none."""
+    """M2: Gold rows of one team, with all statistics unless ``names`` picks some.
+
+    Only that team's rows reach the shuffle that removes duplicates, and
+    ``unique=False`` has none. The last row of a match is that of ``order``, or
+    of the lineage columns; Silver without either raises."""
     rows = team_filter(silver, aliases)
     if matchweek is not None:
         rows = rows.where(F.col("matchweek") == matchweek)
     if unique:
-        rows = keep_last(rows, ["match_id"], [c for c in LATEST_ORDER if c in rows.columns] or ["season"])
+        rows = keep_last(rows, ["match_id"], order or lineage_of(rows))
     return team_record(rows, aliases, names, with_opponent, unplayed, lineage)
 
 
 def silver_to_gold_all(
-    silver: DataFrame, names: Sequence[str] = (), aliases: DataFrame | None = None, unplayed: str | None = "D"
+    silver: DataFrame,
+    names: Sequence[str] | None = None,
+    aliases: DataFrame | None = None,
+    unplayed: str | None = "D",
+    lineage: Sequence[str] = (),
 ) -> DataFrame:
     """M2 for every team at once: two rows per match, optionally only teams of
     an alias table, whose club name then replaces the spelling."""
     rows = all_perspectives(silver)
     if aliases is not None:
         rows = team_alias_match(rows, aliases).withColumn("team", F.col("club"))
-    return gold_columns(rows, names, unplayed=unplayed)
+    return gold_columns(rows, names, unplayed=unplayed, lineage=lineage)
 
 
 def global_masters(
@@ -94,20 +102,11 @@ def global_masters(
 def capture_documents(
     pages: DataFrame, work: DataFrame, base_url: str = "https://example.org", ignore_null_extra: bool = False
 ) -> DataFrame:
-    """Documents of the matches on a work list of the season table.
+    """M9: documents of the matches on a work list of any size.
 
-    The work list is the broadcast side, so the pages, by far the largest input,
-    are filtered where they lie and only the small extracts are shuffled. Its
-    size is bounded by the season table: seasons x weeks x 10 ids.
+    Pages are filtered first and only their small extracts are shuffled. Spark
+    broadcasts the work list only if its measured size allows.
     """
-    return _capture(pages, F.broadcast(work.dropDuplicates(["match_id"])), base_url, ignore_null_extra)
-
-
-def capture_listed(
-    pages: DataFrame, work: DataFrame, base_url: str = "https://example.org", ignore_null_extra: bool = False
-) -> DataFrame:
-    """M9: the same for a work list of any size, such as the cards of result
-    pages. Spark broadcasts it only if its measured size allows."""
     return _capture(pages, work.dropDuplicates(["match_id"]), base_url, ignore_null_extra)
 
 
@@ -126,23 +125,25 @@ def ingest(
     spark: SparkSession,
     root: str,
     pages: DataFrame,
-    seasons: Sequence[str],
+    seasons: Sequence[str] | None,
     matchweeks: Sequence[int] | None = None,
     formats: Sequence[str] = (),
     base_url: str = "https://example.org",
     stamp: str | None = None,
+    season_table: DataFrame | None = None,
 ) -> DataFrame:
     """M7, M9: capture what is not finished yet, land it in Bronze, update the
     state, and export the documents in the wanted formats.
 
     Returns the landed documents. State and exports are made from the landed
     table, so the pages are parsed once. A run that finds nothing new lands an
-    empty table.
+    empty table. ``season_table`` replaces the built-in seasons and their first
+    match ids.
     """
     configure(spark)
     stamp = stamp or sinks.run_stamp()
     state = sinks.read_state(spark, f"{root}/state")
-    work = skip_played(work_list(spark, seasons, matchweeks), state)
+    work = skip_played(work_list(spark, seasons, matchweeks, season_table), state)
     docs = capture_documents(pages, work, base_url).withColumn("ingested_at", F.current_timestamp())
     landing = f"{root}/bronze/run_id={stamp}"
     sinks.by_partition(docs).write.mode("error").partitionBy(*sinks.PARTITIONS).parquet(landing)
@@ -157,36 +158,75 @@ def run_medallion(
     spark: SparkSession,
     root: str,
     pages: DataFrame | None,
-    seasons: Sequence[str],
+    seasons: Sequence[str] | None,
     matchweeks: Sequence[int] | None = None,
     aliases: Sequence[str] = schemas.DEFAULT_TEAM_ALIASES,
-    names: Sequence[str] = (),
+    names: Sequence[str] | None = None,
     skip_ingest: bool = False,
     stamp: str | None = None,
+    season_table: DataFrame | None = None,
+    documents: DataFrame | None = None,
+    csv_export: bool = False,
+    all_teams: bool = False,
 ) -> DataFrame:
     """M8: all steps over the wanted seasons and weeks, masters last.
 
-    A run without new matches is a normal outcome: Silver and Gold still follow
-    from the Bronze layer. Returns row counts per layer, season and matchweek.
+    Silver has the latest version of every match. Gold belongs to a club, the
+    first of its ``aliases``, and a run replaces that club's seasons as a whole;
+    with ``all_teams`` every match has a row for each side, under the name of
+    its team. Both have all statistics unless ``names`` picks some.
+
+    ``documents`` (as ``read_documents`` gives them) stand in for pages; what of
+    them has no match id goes to ``rejects``, and statistics named like a fixed
+    column go to ``reserved_stats``. A run without new matches is a
+    normal outcome: Silver and Gold still follow from the Bronze layer. Returns
+    the number of matches per layer, season and matchweek.
     """
     configure(spark)
     stamp = stamp or sinks.run_stamp()
-    if not skip_ingest:
-        ingest(spark, root, pages, seasons, matchweeks, stamp=stamp)
+    if documents is not None:
+        land_documents(documents, root, stamp)
+    elif not skip_ingest:
+        ingest(spark, root, pages, seasons, matchweeks, stamp=stamp, season_table=season_table)
     bronze = read_layer(spark, f"{root}/bronze", seasons, matchweeks, BRONZE_TABLE)
-    sinks.write_layer(bronze_to_silver(bronze), f"{root}/silver")
+    latest = keep_last(accepted(bronze), ["match_id"], LATEST_ORDER)
+    sinks.write_layer(bronze_to_silver(latest), f"{root}/silver")
+    reserved_stats(clean_documents(latest)).write.mode("error").parquet(f"{root}/reserved_stats/run_id={stamp}")
+
+    silver = read_layer(spark, f"{root}/silver", seasons, schema=SILVER_TABLE)
+    if all_teams:
+        gold = silver_to_gold_all(silver, names, lineage=LATEST_ORDER).withColumn("club", F.col("team"))
+    else:
+        gold = silver_to_gold(silver, aliases, names, lineage=LATEST_ORDER).withColumn("club", F.lit(aliases[0]))
+    sinks.write_layer(gold, f"{root}/gold", ("club", "season"))
+
+    whole = read_layer(spark, f"{root}/silver", schema=SILVER_TABLE)
+    every = spark.read.schema(gold.schema).parquet(f"{root}/gold")
+    silver_rows, gold_rows = global_masters(whole, every)
+    silver_folder = sinks.write_snapshot(silver_rows, f"{root}/silver_master", stamp)
+    gold_folder = sinks.write_snapshot(gold_rows, f"{root}/gold_master", stamp)
+    if csv_export:
+        for layer, folder in (("silver", silver_folder), ("gold", gold_folder)):
+            sinks.write_csv(sinks.csv_columns(spark.read.parquet(folder)), f"{root}/export/run_id={stamp}/{layer}_master")
+    keys = ["match_id", "season", "matchweek"]
+    layers = {"bronze": bronze, "silver": silver, "gold": gold}
+    if matchweeks is not None:
+        layers = {n: df.where(F.col("matchweek").isin(*matchweeks)) for n, df in layers.items()}
+    counted = [layer_counts(df.select(keys).distinct()).withColumn("layer", F.lit(n)) for n, df in layers.items()]
+    return union_tables(counted)
 
-    silver = read_layer(spark, f"{root}/silver", seasons, matchweeks, SILVER_TABLE)
-    gold = silver_to_gold(silver, aliases, names, lineage=LATEST_ORDER)
-    sinks.write_layer(gold, f"{root}/gold")
 
-    silver = read_layer(spark, f"{root}/silver", schema=SILVER_TABLE)
-    gold = spark.read.schema(gold.schema).parquet(f"{root}/gold")
-    silver_rows, gold_rows = global_masters(silver, gold)
-    sinks.write_snapshot(silver_rows, f"{root}/silver_master", stamp)
-    sinks.write_snapshot(gold_rows, f"{root}/gold_master", stamp)
-    layers = {"bronze": bronze, "silver": silver, "gold": gold}
-    return union_tables([layer_counts(df).withColumn("layer", F.lit(n)) for n, df in layers.items()])
+def land_documents(documents: DataFrame, root: str, stamp: str) -> None:
+    """Documents into Bronze, and what is none into a table of rejects."""
+    spark = documents.sparkSession
+    landing = f"{root}/bronze/run_id={stamp}"
+    rows = accepted(documents).withColumn("ingested_at", F.current_timestamp())
+    columns = [F.col(c) for c in spark.createDataFrame([], BRONZE_TABLE).columns]
+    sinks.by_partition(rows.select(*columns)).write.mode("error").partitionBy(*sinks.PARTITIONS).parquet(landing)
+    rejects(documents).write.mode("error").parquet(f"{root}/rejects/run_id={stamp}")
+    landed = spark.read.schema(BRONZE_TABLE).parquet(landing)
+    state = sinks.read_state(spark, f"{root}/state")
+    sinks.write_state(upsert_state(state, match_states(landed)), f"{root}/state", stamp)
 
 
 def result_cards(pages: DataFrame, per_week: int = 10) -> DataFrame:

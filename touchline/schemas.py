@@ -104,5 +104,8 @@ GOLD_FIXED = (
 # Statistic names that would overwrite home_/away_ fixed columns of Silver.
 RESERVED_STATS = ("score", "team")
 
+# Columns that tell which of several versions of a row landed last.
+LINEAGE = ("ingested_at", "source_file", "source_block", "source_pos")
+
 STATE = "match_id bigint, status string, last_updated timestamp"
 RAW_PAGES = "match_id bigint, tab string, html string, visible_text string, fetched_at timestamp"

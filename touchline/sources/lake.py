@@ -10,9 +10,9 @@ from pyspark.sql.utils import AnalysisException
 from touchline import schemas
 from touchline.functions.scores import json_score_text
 from touchline.functions.stats import is_object
-from touchline.operators.masters import union_tables
+from touchline.session import scratch_dir
 
-FILE, BLOCK, POSITION, INGESTED = "source_file", "source_block", "source_pos", "ingested_at"
+INGESTED, FILE, BLOCK, POSITION = schemas.LINEAGE
 
 # Order of rows as they lie in the lake: file, part of the file, row.
 SOURCE_ORDER = (FILE, BLOCK, POSITION)
@@ -142,7 +142,6 @@ def read_documents(spark: SparkSession, paths: str | Sequence[str], multi_line:
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", schemas.CORRUPT)
         .option("recursiveFileLookup", "true")
-        .option("ignoreCorruptFiles", "true")
         .json(paths)
     )
     info = F.from_json(F.when(is_object(F.col("match_info")), F.col("match_info")), schemas.STAT_MAP)
@@ -172,51 +171,80 @@ def rejects(docs: DataFrame) -> DataFrame:
 
 
 def read_csv_table(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    types: dict[str, str] | None = None,
-    multi_line: bool = True,
-    max_headers: int = 500,
+    spark: SparkSession, paths: str | Sequence[str], types: dict[str, str] | None = None, multi_line: bool = True
 ) -> DataFrame:
     """Header CSV files by column name, with declared types.
 
-    Files may have different columns in different order, so the distinct header
-    lines are found first and each gives one scan. Their number is checked; the
-    file names beside them are what a scan lists on the driver anyway.
-    Columns without a type in ``types`` are text. Missing-value texts are NULL,
-    and ``2.0`` in an integer column is 2.
+    Files may have different columns in different order. Columns without a type
+    in ``types`` are text. Missing-value texts are NULL, and ``2.0`` in an
+    integer column is 2. A row with more fields than its header is a reject
+    (``csv_rejects``). Without ``multi_line`` no field may hold a line break,
+    and large files are split.
+    """
+    rows, names = _csv_rows(spark, paths, multi_line)
+    values = lambda n: F.get("_values", F.array_position("_names", F.lit(n)).cast("int") - 1)
+    # a name the file lacks has position 0, and index -1 gives NULL
+    columns = [typed_text(values(n), (types or {}).get(n)).alias(n) for n in names]
+    return rows.where(~_overlong()).select(*columns, *LATEST_ORDER)
+
+
+def csv_rejects(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True) -> DataFrame:
+    """Rows with more fields than their header, with their file."""
+    rows, _ = _csv_rows(spark, paths, multi_line)
+    return rows.where(_overlong()).select(FILE, F.col("_values").alias("fields"))
+
+
+def _overlong() -> Column:
+    width = F.size("_names")
+    return F.exists(F.slice("_values", width + 1, F.size("_values")), lambda v: v.isNotNull())
+
+
+def _field(i: Column) -> Column:
+    return F.col("record")[F.concat(F.lit("_c"), i.cast("string"))]
+
+
+def _csv_rows(spark: SparkSession, paths: str | Sequence[str], multi_line: bool) -> tuple[DataFrame, list[str]]:
+    """The rows of CSV files as ``_values`` beside the ``_names`` of their file,
+    and all names.
+
+    The headers are the first records of the files, read by the CSV grammar. They
+    stay a table, however many files and layouts there are; the driver only
+    learns the distinct names, which the result has as columns anyway. One scan
+    then reads all files.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    lines = (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(paths)
-        .where(F.col("_metadata.file_block_start") == 0)
-        .select("value", F.col("_metadata.file_path").alias(FILE), F.monotonically_increasing_id().alias(POSITION))
-    )
-    headers = (
-        lines.groupBy(FILE).agg(F.min_by("value", POSITION).alias("header"))
-        .groupBy("header").agg(F.collect_list(FILE).alias("files"))
-        .limit(max_headers + 1).collect()
-    )
-    if len(headers) > max_headers:
-        raise ValueError(f"more than {max_headers} different header lines")
-    tables = [_read_one_header(spark, h["header"], h["files"], types or {}, multi_line) for h in headers if h["header"]]
-    if not tables:
-        raise ValueError("no CSV table found")
-    return union_tables(tables)
 
+    def reader(header: bool):
+        return (
+            spark.read.option("header", str(header).lower()).option("quote", '"').option("escape", '"')
+            .option("multiLine", str(multi_line).lower()).option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.csv")
+        )
 
-def _read_one_header(
-    spark: SparkSession, header: str, files: list[str], types: dict[str, str], multi_line: bool
-) -> DataFrame:
-    names = next(iter(spark.read.csv(spark.sparkContext.parallelize([header]), schema=None).collect()))
-    names = [n.lstrip("﻿") for n in names]
-    raw = (
-        spark.read.schema(", ".join(f"`{n}` string" for n in names))
-        .option("header", "true").option("quote", '"').option("escape", '"')
-        .option("multiLine", str(multi_line).lower())
-        .csv(files)
+    first = (
+        reader(False).option("singleVariantColumn", "record").csv(paths)
+        .where(F.col("_metadata.file_block_start") == 0)
+        .select(
+            F.col("_metadata.file_path").alias(FILE),
+            F.expr("cast(record as map<string,string>)").alias("record"),
+            F.monotonically_increasing_id().alias(POSITION),
+        )
+        .withColumn("names", F.transform(F.sequence(F.lit(0), F.size("record") - 1), _field))
+        .where(F.exists("names", lambda n: n.isNotNull() & (n != "")))
     )
-    return _with_source(raw, *[typed_text(F.col(f"`{n}`"), types.get(n)).alias(n) for n in names])
+    headers = first.groupBy(FILE).agg(F.min_by("names", POSITION).alias("names"))
+    clean = F.transform("names", lambda n: F.regexp_replace(F.coalesce(n, F.lit("")), "^\\ufeff", ""))
+    path = scratch_dir(spark, "csv_headers")
+    headers.select(FILE, clean.alias("_names")).write.parquet(path)
+    headers = spark.read.schema(f"{FILE} string, _names array<string>").parquet(path)
+    names = [r[0] for r in headers.select(F.explode("_names").alias("n")).where("n != ''").distinct().orderBy("n").collect()]
+    if not names:
+        raise ValueError("no CSV table found")
+    width = headers.agg(F.max(F.size("_names"))).first()[0]
+    fields = [f"_c{i}" for i in range(width + 1)]
+    raw = reader(True).schema(", ".join(f"{f} string" for f in fields)).csv(paths)
+    rows = _with_source(raw, F.array(*fields).alias("_values"))
+    return rows.join(headers, FILE), names
 
 
 def typed_text(c: Column, kind: str | None) -> Column:

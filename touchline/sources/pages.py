@@ -14,7 +14,7 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 # Executors get this helper with the task and need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -71,8 +71,9 @@ class _Node:
 class _Elements(HTMLParser):
     """Collects the elements of one page with their text and extent."""
 
-    def __init__(self) -> None:
+    def __init__(self, links: bool = False) -> None:
         super().__init__(convert_charrefs=True)
+        self._links = links
         self.found: list[list] = []
         self._open: list[_Node] = []
         self._chunks: list[str] = []
@@ -112,7 +113,7 @@ class _Elements(HTMLParser):
         if node.last_child is not None:
             node.last_child[_LAST] = True
         cls, href, testid = (node.attrs.get(k) or "" for k in ("class", "href", "data-testid"))
-        if node.tag in _TAGS or testid or (node.tag == "a" and "match/" in href) or _CLASS.search(cls):
+        if node.tag in _TAGS or testid or (node.tag == "a" and (self._links or "match/" in href)) or _CLASS.search(cls):
             # "\0" marks the line breaks of the layout.
             text = "".join(self._chunks[node.start :])
             entry = [
@@ -141,17 +142,18 @@ class _Elements(HTMLParser):
         return sorted(self.found, key=lambda e: e[0])
 
 
-def page_elements(html: str | None) -> list[list]:
-    """Elements of a page in document order, fields as in ``ELEMENT``."""
-    page = _Elements()
+def page_elements(html: str | None, links: bool = False) -> list[list]:
+    """Elements of a page in document order, fields as in ``ELEMENT``. ``links``
+    keeps all links, not only those to matches."""
+    page = _Elements(links)
     page.feed(html or "")
     return page.finish()
 
 
-def _element_lists(pages: list[str | None]) -> pa.Array:
+def _element_lists(pages: list[str | None], links: bool) -> pa.Array:
     found, offsets = [], [0]
     for html in pages:
-        found += page_elements(html)
+        found += page_elements(html, links)
         offsets.append(len(found))
     columns = zip(*found) if found else [()] * len(_ARROW_FIELDS)
     arrays = [pa.array(c, type=t) for c, (_, t) in zip(columns, _ARROW_FIELDS)]
@@ -159,12 +161,15 @@ def _element_lists(pages: list[str | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), items)
 
 
-def with_elements(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Replace column ``html`` by ``elements``. The page itself goes no further.
+def with_elements(pages: DataFrame, html: str = "html", links: bool = False) -> DataFrame:
+    """Replace column ``html`` by ``elements`` and ``page_hash``, which tells pages
+    apart that were captured at the same time. The page itself goes no further.
+    With ``links`` all links are elements, not only those to matches.
 
     Batches follow spark.sql.execution.arrow.maxBytesPerBatch, so large pages
     make short batches.
     """
+    pages = pages.withColumn("page_hash", F.xxhash64(html))
     keep = [f for f in pages.schema.fields if f.name != html]
     schema = T.StructType([*keep, T.StructField("elements", T.ArrayType(T.StructType.fromDDL(ELEMENT)))])
     names = [f.name for f in keep]
@@ -172,7 +177,7 @@ def with_elements(pages: DataFrame, html: str = "html") -> DataFrame:
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(n) for n in names]
-            columns.append(_element_lists(batch.column(html).to_pylist()))
+            columns.append(_element_lists(batch.column(html).to_pylist(), links))
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "elements"])
 
     return pages.mapInArrow(parse, schema)

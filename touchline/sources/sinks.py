@@ -96,6 +96,12 @@ def flat_row(docs: DataFrame) -> DataFrame:
     return docs.where(none).select(*[flat(n, t) for n, t in docs.dtypes if n != "statistics"])
 
 
+def csv_columns(df: DataFrame) -> DataFrame:
+    """A table for a CSV export: nested columns as JSON."""
+    nested = ("struct", "map", "array")
+    return df.select(*[(F.to_json(c) if t.startswith(nested) else F.col(c)).alias(c) for c, t in df.dtypes])
+
+
 def write_formats(docs: DataFrame, path: str, formats: Sequence[str] = ("json",)) -> dict[str, str]:
     """K7: the documents in each wanted format; returns format -> path.
 
@@ -121,12 +127,19 @@ def write_snapshot(df: DataFrame, path: str, stamp: str | None = None) -> str:
     return folder
 
 
-def latest_snapshot(spark: SparkSession, path: str) -> str | None:
-    """Folder of the newest complete version."""
+def complete_snapshots(spark: SparkSession, path: str) -> list[str]:
+    """Names of the versions that were written to the end, in order."""
     runs = [n for n in list_folder(spark, path) if n.startswith("run_id=")]
-    for name in reversed(runs):
-        if "_SUCCESS" in list_folder(spark, f"{path.rstrip('/')}/{name}"):
-            return f"{path.rstrip('/')}/{name}"
+    return [n for n in runs if "_SUCCESS" in list_folder(spark, f"{path.rstrip('/')}/{n}")]
+
+
+def latest_snapshot(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest complete version. Versions are named by the time of
+    their run, so names sort as they were made."""
+    base = path.rstrip("/")
+    for name in reversed([n for n in list_folder(spark, base) if n.startswith("run_id=")]):
+        if "_SUCCESS" in list_folder(spark, f"{base}/{name}"):
+            return f"{base}/{name}"
     return None
 
 

@@ -112,7 +112,8 @@ SILVER_LONG = with_(MATCHES, RAW, ORDER_STATS, JOINED, FLAT, LONG)
 
 def wide(names=STAT_NAMES) -> str:
     return ", ".join(
-        f"{val(f'v_{side}_{s}')} AS {side}_{s}, {pct(f'p_{side}_{s}')} AS {side}_{s}_pct"
+        f"{val(f'v_{side}_{s}')} AS {side}_{s}, {pct(f'p_{side}_{s}')} AS {side}_{s}_pct, "
+        f"{text(f'v_{side}_{s}')} AS {side}_{s}_text"
         for side in ("home", "away")
         for s in names
     )
@@ -126,7 +127,8 @@ def gold(team: str = "NATION_3", names=STAT_NAMES, source: str = "flat") -> str:
     """SELECT of the Gold rows of one team."""
     stats = ", ".join(
         f"CASE WHEN is_home THEN {val(f'v_home_{s}')} ELSE {val(f'v_away_{s}')} END AS {s}, "
-        f"CASE WHEN is_home THEN {pct(f'p_home_{s}')} ELSE {pct(f'p_away_{s}')} END AS {s}_pct"
+        f"CASE WHEN is_home THEN {pct(f'p_home_{s}')} ELSE {pct(f'p_away_{s}')} END AS {s}_pct, "
+        f"CASE WHEN is_home THEN {text(f'v_home_{s}')} ELSE {text(f'v_away_{s}')} END AS {s}_text"
         for s in names
     )
     stats = f", {stats}" if names else ""

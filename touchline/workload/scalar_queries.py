@@ -316,7 +316,7 @@ def p7(spark, sf):
     return _own(spark, sf).select("match_id", "is_home", "team", "opponent", "goals_scored", "goals_conceded")
 
 
-@query("p8_side_projection", o.SILVER + "SELECT match_id, possession, passes_completed, passes_completed_pct, possession_pct"
+@query("p8_side_projection", o.SILVER + "SELECT match_id, possession, passes_completed, passes_completed_pct, possession_pct, possession_text, passes_completed_text"
        f" FROM ({o.gold(names=('possession', 'passes_completed'))})")
 def p8(spark, sf):
     own = team_filter(bronze_to_silver(documents(spark, sf)), TEAM)

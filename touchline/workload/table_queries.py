@@ -19,11 +19,10 @@ from touchline.workload import oracle as o
 from touchline.workload.registry import query
 from touchline.workload.scalar_queries import _LATEST_STATE
 from touchline.workload.tables import (
-    BASE_URL, STAT_NAMES, TEAM, documents, full_documents, matches, raw_pages, raw_stats, result_pages,
+    BASE_URL, STAT_NAMES, TEAM, card_pages, documents, full_documents, matches, raw_pages, raw_stats, result_pages,
     season_requests, state, table,
 )
 
-SEASONS = [f"{y}/{(y + 1) % 100:02d}" for y in range(1990, 2030)]
 _FIXED_SQL = o.with_(o.MATCHES) + f"SELECT {o.FIXED} FROM matches"
 _COUNT_SQL = o.with_(o.MATCHES) + """SELECT season, matchweek, count(*) AS n_rows FROM matches GROUP BY season, matchweek"""
 _TYPES = {**schemas.SILVER_FIXED_TYPES}
@@ -42,13 +41,24 @@ def _written_json(spark, sf, name):
 # --- sources ------------------------------------------------------------------
 
 
+def _seasons_of(df):
+    """The seasons a table has: a value per year, so the driver may hold them."""
+    return sorted(r[0] for r in df.select("season").distinct().collect())
+
+
 @query("s1_scan_layer", _COUNT_SQL)
 def s1(spark, sf):
-    """Documents of a layer found by season and matchweek folders."""
-    path = scratch_dir(spark, "s1")
-    sinks.write_bundles(documents(spark, sf), path)
-    docs = sinks.read_bundles(spark, path).where(F.col("season").isin(*SEASONS) & F.col("matchweek").between(1, 38))
-    return layer_counts(docs)
+    """Documents whose files the listing of their season's folder has."""
+    root = scratch_dir(spark, "s1")
+    docs = full_documents(spark, sf).withColumn("week", F.col("matchweek"))
+    found = _seasons_of(matches(spark, sf))
+    for season in found:
+        own = docs.where(F.col("season") == season)
+        own.write.partitionBy("week").json(f"{root}/bronze/{lake.season_folder(season)}")
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    listed = lake.scan_layer(spark, root, "bronze", found).select(plain("path").alias("path"))
+    read = lake.read_documents(spark, [f"{root}/bronze/{lake.season_folder(s)}" for s in found], multi_line=False)
+    return layer_counts(read.withColumn("path", plain(lake.FILE)).join(listed, "path", "left_semi"))
 
 
 def _csv_halves(spark, sf, root):
@@ -72,7 +82,7 @@ def s2(spark, sf):
 def s3(spark, sf):
     """Gold tables of the seasons that have any."""
     root = scratch_dir(spark, "s3")
-    gold = team_record(matches(spark, sf), TEAM)
+    gold = team_record(matches(spark, sf), TEAM, ())
     sinks.write_csv(gold, f"{root}/gold/1995-96/analytics/t_mw1")
     types = {"match_id": "bigint", "matchweek": "int", "is_home": "boolean", "goals_scored": "int",
              "goals_conceded": "int", "score": "int"}
@@ -244,12 +254,13 @@ def k6(spark, sf):
 
 @query("k7_write_multi_format", _LONG_CSV.replace("WITH", "WITH", 1))
 def k7(spark, sf):
-    """Both formats hold the same statistics."""
+    """Both formats hold the same statistics, neither one more."""
     path = scratch_dir(spark, "k7")
     made = sinks.write_formats(full_documents(spark, sf), path, ("json", "csv"))
     from_csv = _clean_long(lake.read_csv_table(spark, made["csv"], {"match_id": "bigint"}))
     from_json = _clean_long(sinks.long_rows(lake.read_documents(spark, made["json"], multi_line=False)))
-    return from_csv.intersectAll(from_json)
+    # what only one of them has shows up as further rows
+    return from_csv.unionAll(from_csv.exceptAll(from_json)).unionAll(from_json.exceptAll(from_csv))
 
 
 @query("k8_write_silver", o.SILVER + f"SELECT {o.FIXED}, {o.wide()} FROM flat")
@@ -272,8 +283,12 @@ def k9(spark, sf):
 
 @query("k10_write_state", o.with_(_LATEST_STATE) + "SELECT match_id, status, epoch_us(ts) AS updated FROM latest")
 def k10(spark, sf):
+    """A stream's version, then a job's: the job's is read."""
     path = scratch_dir(spark, "k10")
     new = state(spark, sf).drop("event_id")
+    early = new.withColumn("status", F.lit("EARLIER")).withColumn("last_updated", F.to_timestamp(F.lit("1970-01-01")))
+    stream = f"{sinks.run_stamp()}_stream_0123456789ab_000000000007"
+    sinks.write_state(state_ops.upsert_state(sinks.read_state(spark, path), early), path, stream)
     sinks.write_state(state_ops.upsert_state(sinks.read_state(spark, path), new), path)
     return sinks.read_state(spark, path).select("match_id", "status", F.unix_micros("last_updated").alias("updated"))
 
@@ -282,9 +297,10 @@ def k10(spark, sf):
 
 
 @query("j1_state_anti_join", o.with_(o.MATCHES, _LATEST_STATE) + """SELECT match_id, season, matchweek, home_team FROM matches m
-  WHERE NOT EXISTS (SELECT 1 FROM state l WHERE l.match_id = m.match_id AND l.status = 'PLAYED')""")
+  WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.match_id = m.match_id AND l.status = 'PLAYED')""")
 def j1(spark, sf):
-    return state_ops.skip_played(matches(spark, sf).select("match_id", "season", "matchweek", "home_team"), state(spark, sf))
+    keyed = dedupe.keep_last(state(spark, sf), ["match_id"], ["last_updated", "status"])
+    return state_ops.skip_played(matches(spark, sf).select("match_id", "season", "matchweek", "home_team"), keyed)
 
 
 @query("j2_season_lookup", o.with_(_REQUESTS) + f"""SELECT r.season, matchweek, CAST(season_id AS INTEGER) AS season_id,
@@ -434,9 +450,9 @@ def o4(spark, sf):
     """The first link inside a list item, and at most two list items."""
     from touchline.functions.dom import is_tag, select_all
 
-    pages = with_elements(table(spark, sf, "pages").select("page_id", F.regexp_replace("html", '<a href="', '<a class="name" href="').alias("html")))
+    pages = with_elements(table(spark, sf, "pages").select("page_id", "html"), links=True)
     items = select_all(F.col("elements"), is_tag("li"))
-    link = select_all(F.col("elements"), lambda e: e["tag"] == "a", F.get(items, F.lit(0)))
+    link = select_all(F.col("elements"), is_tag("a"), F.get(items, F.lit(0)))
     return pages.select("page_id", F.get(link, F.lit(0))["href"].alias("first_href"), F.size(F.slice(items, 1, 2)).alias("n_taken"))
 
 
@@ -461,15 +477,32 @@ def u1(spark, sf):
 def u2(spark, sf):
     """Gold of two teams, the second without venue."""
     keep = ["match_id", "team", "result", "opponent", "score"]
-    a, b = (team_record(matches(spark, sf), [t]) for t in ("NATION_3", "NATION_4"))
+    a, b = (team_record(matches(spark, sf), [t], ()) for t in ("NATION_3", "NATION_4"))
     return masters.union_tables([a.select(*keep, "venue"), b.select(*keep)])
 
 
-@query("u3_append_gold", o.with_(o.MATCHES) + " UNION ALL ".join(2 * [f"SELECT match_id, result, matchweek FROM ({o.gold(names=(), source='matches')})"]))
+_U3 = o.gold(names=(), source="matches")
+
+
+@query("u3_append_gold", o.with_(o.MATCHES) + f"""SELECT 'all' AS part, match_id, result, matchweek, venue FROM ({_U3})
+  UNION ALL SELECT 'week', match_id, result, matchweek, venue FROM ({_U3}) WHERE matchweek = 7
+  UNION ALL SELECT 'kept', match_id, result, matchweek, venue FROM ({_U3})
+  UNION ALL SELECT 'kept', match_id, result, matchweek, 'old' FROM ({_U3})""")
 def u3(spark, sf):
-    """Two runs over the same season keep all rows when duplicates are wanted."""
-    gold = team_record(matches(spark, sf), TEAM).select("match_id", "result", "matchweek")
-    return masters.append_gold(masters.union_tables([gold, gold]), unique=False)
+    """Two runs over a season: the later row of each match, those of one week,
+    and all rows when duplicates are wanted."""
+    gold = team_record(matches(spark, sf), TEAM, ())
+    at = lambda day: F.to_timestamp(F.lit(f"2025-01-0{day}"))
+    runs = masters.union_tables([
+        gold.withColumn("ingested_at", at(2)), gold.withColumn("venue", F.lit("old")).withColumn("ingested_at", at(1)),
+    ])
+    parts = {
+        "all": masters.append_gold(runs), "week": masters.append_gold(runs, 7),
+        "kept": masters.append_gold(runs, unique=False),
+    }
+    return masters.union_tables([
+        df.select(F.lit(name).alias("part"), "match_id", "result", "matchweek", "venue") for name, df in parts.items()
+    ])
 
 
 # --- page extraction ----------------------------------------------------------
@@ -482,9 +515,11 @@ def _elements(spark, sf, tab):
 _MATCH_HEAD = "match_id, home_team, away_team, home_score, away_score, date"
 
 
-@query("x1_extract_match_cards", o.with_(o.MATCHES) + f"SELECT {_MATCH_HEAD}, season, matchweek FROM matches")
+@query("x1_extract_match_cards", o.with_(o.MATCHES) + f"""SELECT {_MATCH_HEAD}, 'all' AS season,
+  CAST(match_id // 12 AS INTEGER) AS matchweek FROM matches""")
 def x1(spark, sf):
-    return extract.extract_match_cards(with_elements(result_pages(spark, sf)))
+    """Pages with many cards, each of them twice."""
+    return extract.extract_match_cards(with_elements(card_pages(spark, sf)))
 
 
 @query("x2_extract_match_header", o.with_(o.MATCHES) + f"SELECT {_MATCH_HEAD}, venue, referee FROM matches")
@@ -604,18 +639,29 @@ def m1(spark, sf):
 
 @query("m2_silver_to_gold", o.SILVER + o.gold())
 def m2(spark, sf):
-    return jobs.silver_to_gold(_silver(spark, sf), TEAM, STAT_NAMES)
-
+    return jobs.silver_to_gold(_silver(spark, sf), TEAM, STAT_NAMES, order=["date"])
 
-def _master_sql(columns: str) -> str:
-    return f"SELECT {columns} FROM ({_keep_last_sql(_UNION, _LINE + ', l_tax')})"
 
-
-@query("m3_global_masters", _master_sql(_LINE + ", l_tax"))
+@query("m3_global_masters", o.SILVER + f"""SELECT 'silver' AS master, match_id, season, matchweek, referee, {o.val('v_home_shots')} AS shots,
+  CAST(NULL AS VARCHAR) AS team, CAST(NULL AS VARCHAR) AS result FROM flat
+  UNION ALL SELECT 'gold', match_id, season, matchweek, NULL, NULL, team, result FROM ({o.gold(names=())})
+  UNION ALL SELECT 'gold', match_id, season, matchweek, NULL, NULL, team, result FROM ({o.gold('NATION_4', ())})""")
 def m3(spark, sf):
-    """Union of two tables, last row per key, sorted."""
-    rows = dedupe.keep_last(_union(spark, sf), _KEYS, _ORDER).drop("l_shipdate")
-    return rows.orderBy(*_KEYS)
+    """Both masters of Silver that has every match twice, the later one right,
+    and of Gold of two teams that meet each other."""
+    at = lambda day: F.to_timestamp(F.lit(f"2025-01-0{day}"))
+    now = _silver(spark, sf).withColumn("ingested_at", at(2))
+    silver = now.unionByName(now.withColumn("referee", F.lit("old")).withColumn("ingested_at", at(1)))
+    gold = masters.union_tables([
+        jobs.silver_to_gold(silver, [team], (), unique=False, lineage=["ingested_at"]) for team in (*TEAM, "NATION_4")
+    ])
+    whole, own = jobs.global_masters(silver, gold, ["ingested_at"])
+    shots = F.col("stats")["shots"]["home"]["value"].alias("shots")
+    keys = ["match_id", "season", "matchweek"]
+    return masters.union_tables([
+        whole.select(F.lit("silver").alias("master"), *keys, "referee", shots),
+        own.select(F.lit("gold").alias("master"), *keys, "team", "result"),
+    ])
 
 
 @query("m4_clean_document", o.SILVER + f"""SELECT match_id, home_team, home_score, away_score,
@@ -634,62 +680,120 @@ def m5(spark, sf):
     return to_wide(flatten_documents(clean_documents(documents(spark, sf))), STAT_NAMES)
 
 
-@query("m6_team_record", o.with_(o.MATCHES) + o.gold(names=(), source="matches"))
+@query("m6_team_record", o.SILVER + o.gold())
 def m6(spark, sf):
-    return team_record(matches(spark, sf), TEAM)
+    return team_record(_silver(spark, sf), TEAM, STAT_NAMES)
+
+
+_ALL_TEAMS = """sides AS (SELECT match_id, season, matchweek, home_team AS team, away_team AS opponent, home_score AS goals_scored,
+  away_score AS goals_conceded, v_home_rating_grade AS grade FROM flat UNION ALL
+  SELECT match_id, season, matchweek, away_team, home_team, away_score, home_score, v_away_rating_grade FROM flat)"""
+
+
+@query("m2_silver_to_gold_all", o.with_(o.MATCHES, o.RAW, o.ORDER_STATS, o.JOINED, o.FLAT, _ALL_TEAMS) + f"""SELECT match_id, season,
+  matchweek, team, opponent, {o.WDL} AS result, goals_scored, {o.text('grade')} AS grade FROM sides""")
+def m2_all(spark, sf):
+    """Every match for both of its teams, statistics as they are in Gold by default."""
+    rows = jobs.silver_to_gold_all(_silver(spark, sf))
+    grade = F.col("stats")["rating_grade"]["text"].alias("grade")
+    return rows.select("match_id", "season", "matchweek", "team", "opponent", "result", "goals_scored", grade)
+
 
+# A season table that has all orders: match n is match n % 380 of season n // 380.
+def _season_table(spark, sf):
+    number = F.floor(F.col("o_orderkey") / 380).cast("int")
+    known = table(spark, sf, "orders").select(number.alias("season_id")).distinct()
+    season = F.format_string("%d/%02d", F.col("season_id"), F.pmod(F.col("season_id") + 1, F.lit(100)))
+    return known.select(season.alias("season"), "season_id", (F.col("season_id") * 380).cast("bigint").alias("start_match_id"))
 
-# Matches on the ids of the season table: order n is match n of all weeks.
-_N_SEASONS = len(schemas.SEASON_START_MATCH_ID)
-_STARTS = ", ".join(str(i) for i in schemas.SEASON_START_MATCH_ID.values())
 
+def _all_pages(spark, sf):
+    return raw_pages(spark, sf).drop("season", "matchweek")
 
-def _season_pages(spark, sf, tabs):
-    """Stored pages whose ids follow the season table; ids beyond it stay out
-    of every work list."""
-    pages = raw_pages(spark, sf, tabs)
-    starts = F.array(*[F.lit(i) for i in schemas.SEASON_START_MATCH_ID.values()])
-    season = F.floor(F.col("match_id") / 380).cast("int")
-    real = F.get(starts, season) + F.col("match_id") % 380
-    return pages.withColumn("match_id", F.coalesce(real, -F.col("match_id"))).drop("season", "matchweek")
 
+def _recaptured(spark, sf):
+    """The pages as a later visit finds them: every match played, 4 - 1."""
+    score = F.regexp_replace("html", r'(match-header__score">)[^<]*<', "$14 – 1<")
+    later = F.col("fetched_at") + F.expr("interval 30 days")
+    return _all_pages(spark, sf).withColumn("html", score).withColumn("fetched_at", later)
 
-_INGESTED = f"""ingested AS (SELECT *, ([{_STARTS}])[CAST(floor(match_id / 380) AS INTEGER) + 1] + match_id % 380 AS real_id,
-  CAST(2010 + floor(match_id / 380) AS INTEGER) AS y, CAST(floor(match_id % 380 / 10) + 1 AS INTEGER) AS mw
-  FROM matches WHERE match_id < 380 * {_N_SEASONS})"""
-_ALL_SEASONS = [f"{y}/{(y + 1) % 100:02d}" for y in schemas.SEASON_START_MATCH_ID]
 
+_PLACED = """placed AS (SELECT *, CAST(match_id // 380 AS VARCHAR) || '/' || lpad(CAST((match_id // 380 + 1) % 100 AS VARCHAR), 2, '0')
+  AS own_season, CAST(match_id % 380 // 10 + 1 AS INTEGER) AS own_week FROM matches)"""
+_VISITED = f"""CAST(coalesce(home_score, 0) AS INTEGER) AS n_home_goals, date || ' 15:00' AS kickoff, 11 AS n_away"""
 
-@query("m7_ingest_matchweek", o.with_(o.MATCHES, _INGESTED) + """SELECT CAST(real_id AS BIGINT) AS match_id,
-  CAST(y AS VARCHAR) || '/' || lpad(CAST((y + 1) % 100 AS VARCHAR), 2, '0') AS season, mw AS matchweek, home_team,
-  CASE WHEN home_score IS NULL THEN 'SCHEDULED' ELSE 'PLAYED' END AS status FROM ingested""")
+
+def _visited_columns():
+    info, events, lineups = F.col("match_info"), F.col("events"), F.col("lineups")
+    return [
+        info["home_team"].alias("home_team"), info["home_score"].cast("int").alias("home_score"),
+        F.size(events["home_goals"]).alias("n_home_goals"), info["kickoff"].alias("kickoff"),
+        F.size(lineups["away"]["starting_xi"]).alias("n_away"),
+    ]
+
+
+@query("m7_ingest_matchweek", o.with_(o.MATCHES, _PLACED) + f"""SELECT match_id, own_season AS season, own_week AS matchweek, home_team,
+  4 AS home_score, {_VISITED}, 'PLAYED' AS status FROM placed WHERE home_score IS NULL""")
 def m7(spark, sf):
-    """Capture everything twice: the second run only visits open matches."""
+    """Two visits over all tabs: the second one finds the open matches only."""
     root = scratch_dir(spark, "m7")
-    pages = _season_pages(spark, sf, ("stats",))
-    first = jobs.ingest(spark, root, pages, _ALL_SEASONS, stamp="20250101_000000_000000")
-    jobs.ingest(spark, root, pages, _ALL_SEASONS, stamp="20250102_000000_000000")
-    landed = first.select("match_id", "season", "matchweek", F.col("match_info")["home_team"].alias("home_team"))
+    seasons_of = _season_table(spark, sf)
+    jobs.ingest(spark, root, _all_pages(spark, sf), None, stamp="20250101_000000_000000", season_table=seasons_of)
+    second = jobs.ingest(spark, root, _recaptured(spark, sf), None, stamp="20250102_000000_000000", season_table=seasons_of)
+    landed = second.select("match_id", "season", "matchweek", *_visited_columns())
     return landed.join(sinks.read_state(spark, f"{root}/state").select("match_id", "status"), "match_id")
 
 
-@query("m8_run_medallion", o.with_(o.MATCHES, _INGESTED) + """SELECT layer, season, matchweek, count(*) AS n_rows FROM (
-  SELECT CAST(y AS VARCHAR) || '/' || lpad(CAST((y + 1) % 100 AS VARCHAR), 2, '0') AS season, mw AS matchweek,
-    unnest(CASE WHEN home_team = 'NATION_3' OR away_team = 'NATION_3' THEN ['bronze', 'silver', 'gold'] ELSE ['bronze', 'silver'] END) AS layer
-  FROM ingested) GROUP BY layer, season, matchweek""")
+_MASTER_TEAMS = ("NATION_3", "NATION_4")
+_AFTER = """visited AS (SELECT match_id, own_season AS season, own_week AS matchweek, home_team, away_team, date, venue,
+  coalesce(home_score, 4) AS home_score, CASE WHEN home_score IS NULL THEN 1 ELSE away_score END AS away_score,
+  coalesce(trim(h5), '0') AS raw_home, coalesce(trim(a5), '0') AS raw_away FROM placed LEFT JOIN order_stats ON match_id = s_match_id)"""
+
+
+def _after_gold(team):
+    xg = f"CASE WHEN home_team = '{team}' THEN {o.val('raw_home')} ELSE {o.val('raw_away')} END AS xg"
+    return o.gold(team, (), f"(SELECT *, {xg} FROM visited)").replace("goals_scored AS score", "xg", 1)
+
+
+@query("m8_run_medallion", o.with_(o.MATCHES, _PLACED, o.RAW, o.ORDER_STATS, _AFTER) + " UNION ALL ".join(
+    f"SELECT match_id, season, matchweek, '{t}' AS club, team, opponent, is_home, result, goals_scored, goals_conceded, xg FROM ({_after_gold(t)})"
+    for t in _MASTER_TEAMS))
 def m8(spark, sf):
+    """The Gold master after a run for one team and one for another, with open
+    matches played in between."""
     root = scratch_dir(spark, "m8")
-    pages = _season_pages(spark, sf, ("stats",))
-    return jobs.run_medallion(spark, root, pages, _ALL_SEASONS, aliases=TEAM, names=STAT_NAMES)
+    seasons_of = _season_table(spark, sf)
+    visits = zip(_MASTER_TEAMS, (_all_pages(spark, sf), _recaptured(spark, sf)), ("20250101_000000_000000", "20250102_000000_000000"))
+    for team, pages, stamp in visits:
+        jobs.run_medallion(spark, root, pages, None, aliases=[team], stamp=stamp, season_table=seasons_of)
+    # the first team's Gold follows the later visit as well
+    jobs.run_medallion(spark, root, None, None, aliases=[_MASTER_TEAMS[0]], skip_ingest=True, stamp="20250103_000000_000000")
+    rows = spark.read.parquet(sinks.latest_snapshot(spark, f"{root}/gold_master"))
+    return rows.select("match_id", "season", "matchweek", "club", "team", "opponent", "is_home", "result", "goals_scored",
+                       "goals_conceded", F.col("stats")["xg"]["value"].alias("xg"))
+
+
+@query("m8_medallion_documents", o.with_(o.MATCHES, _BOTH_SIDES) + f"""SELECT m.match_id, season, team, {o.WDL.replace('goals_scored', 'gs').replace('goals_conceded', 'gc')} AS result
+  FROM sides s JOIN matches m ON s.match_id = m.match_id UNION ALL SELECT NULL, 'reject', NULL, CAST(count(*) AS VARCHAR) FROM conversations""")
+def m8_documents(spark, sf):
+    """The same job over a folder of JSON documents, for all teams; texts that
+    are none become rejects."""
+    root, path = scratch_dir(spark, "m8d"), scratch_dir(spark, "m8d_json")
+    sinks.write_json(full_documents(spark, sf), path)
+    noise = F.concat(F.lit("not json "), F.regexp_replace("text", r"\s", " "))
+    table(spark, sf, "conversations").select(noise).write.mode("append").text(f"{path}/more")
+    docs = lake.read_documents(spark, path, multi_line=False)
+    jobs.run_medallion(spark, root, None, None, documents=docs, all_teams=True, stamp="20250101_000000_000000")
+    rows = spark.read.parquet(sinks.latest_snapshot(spark, f"{root}/gold_master")).select("match_id", "season", "team", "result")
+    left = spark.read.parquet(f"{root}/rejects").agg(F.count("*").cast("string").alias("result"))
+    return rows.unionByName(left.withColumn("season", F.lit("reject")), allowMissingColumns=True)
 
 
-@query("m9_ingest_season", o.with_(o.MATCHES) + f"""SELECT match_id, home_team, away_team, home_score, away_score, season, matchweek FROM (
+@query("m9_ingest_season", o.with_(o.MATCHES) + f"""SELECT match_id, season, matchweek, home_team, home_score, {_VISITED} FROM (
   SELECT *, row_number() OVER (PARTITION BY season, matchweek ORDER BY match_id) AS rn FROM matches) WHERE rn <= 10""")
 def m9(spark, sf):
-    """Cards of the result pages give the work list; their pages give documents."""
+    """Cards of the result pages give the work list; all tabs give documents."""
     cards = jobs.result_cards(result_pages(spark, sf))
     work = cards.select("match_id", "season", "matchweek")
-    docs = jobs.capture_listed(raw_pages(spark, sf, ("stats",)).drop("season", "matchweek"), work, BASE_URL)
-    info = F.col("match_info")
-    scores = [info[c].cast("int").alias(c) for c in ("home_score", "away_score")]
-    return docs.select("match_id", *[info[c].alias(c) for c in ("home_team", "away_team")], *scores, "season", "matchweek")
+    docs = jobs.capture_documents(_all_pages(spark, sf), work, BASE_URL)
+    return docs.select("match_id", "season", "matchweek", *_visited_columns())

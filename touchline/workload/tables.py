@@ -356,3 +356,19 @@ def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('/x">again</a><a href="/club/1">other</a>'),
     )
     return spread(matches(spark, sf_dir)).select("season", "matchweek", html.alias("html"))
+
+
+def card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result pages of up to twelve matches: all cards in full, then all again as
+    bare links. A page lists matches of neighbouring ids; its number stands in
+    for the matchweek."""
+    cards = result_pages(spark, sf_dir)
+    again = F.concat(F.lit('<a href="/match/'), F.regexp_extract("html", r'</div><a href="/match/(.*)$', 1))
+    full = F.regexp_extract("html", r'^(.*</a>)</div><a href="/match/', 1)
+    number = F.floor(F.regexp_extract("html", r'href="/match/(\d+)/', 1).cast("bigint") / 12).cast("int")
+    lists = cards.groupBy(number.alias("matchweek")).agg(
+        F.array_sort(F.collect_list(F.concat(full, F.lit("</div>")))).alias("full"),
+        F.array_sort(F.collect_list(again)).alias("again"),
+    )
+    html = F.concat(F.array_join("full", ""), F.lit("<div>"), F.array_join("again", "</div><div>"), F.lit("</div>"))
+    return lists.select(F.lit("all").alias("season"), "matchweek", html.alias("html"))
