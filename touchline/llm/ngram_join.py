@@ -33,7 +33,7 @@ from touchline.llm.shingles import mix, shingle_sets
 
 WIDTH = 5
 _U = np.uint64
-_BITS = 1024
+_LEAST_BITS = 1024
 _COUNTERS = 1 << 18
 _PER_ROW = 1 << 12
 _MARKS = 1 << 23  # bits of the membership bitmap
@@ -85,7 +85,9 @@ def join_keys(tokens: np.ndarray, counters: np.ndarray) -> np.ndarray:
 
 
 def _bit_sketch(tokens: np.ndarray) -> list[int]:
-    odd = np.bincount((mix(tokens + _U(99)) & _U(_BITS - 1)).astype(np.int64), minlength=_BITS) & 1
+    """Parity of the tokens per bit, with at least a bit per token."""
+    bits = max(_LEAST_BITS, 1 << (len(tokens) - 1).bit_length())
+    odd = np.bincount((mix(tokens + _U(99)) & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
@@ -165,15 +167,32 @@ def _histogram(profile: DataFrame) -> np.ndarray:
     return np.minimum(counters, (1 << 31) - 1).astype(np.int32)
 
 
+def _folded(a: str, b: str) -> Column:
+    """Sketch ``a``, halved by XOR when ``b`` has half its bits. Sizes that may be
+    similar are never further apart."""
+    half = (F.size(a) / 2).cast("int")
+    folded = F.zip_with(F.slice(a, 1, half), F.slice(a, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(a) > F.size(b), folded).otherwise(F.col(a))
+
+
 def _hamming(a: str, b: str) -> Column:
-    apart = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.zip_with(_folded(a, b), _folded(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     return F.aggregate(apart, F.lit(0), lambda total, x: total + x)
 
 
-def _possible(n_a: str, n_b: str, bits_a: str, bits_b: str) -> Column:
-    """Neither the sizes nor the bit sketches rule a similarity of 3/4 out."""
-    small, large = F.least(n_a, n_b), F.greatest(n_a, n_b)
-    return (4 * small >= 3 * large) & (7 * _hamming(bits_a, bits_b) <= F.col(n_a) + F.col(n_b))
+def _alike_in_size(n_a: str, n_b: str) -> Column:
+    return 4 * F.least(n_a, n_b) >= 3 * F.greatest(n_a, n_b)
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that neither sizes nor bit sketches rule out."""
+    for end in "ab":
+        own = nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
+        pairs = pairs.join(own, end)
+        if end == "b":
+            pairs = pairs.where(_alike_in_size("n_a", "n_b"))
+    close = 7 * _hamming("bits_a", "bits_b") <= F.col("n_a") + F.col("n_b")
+    return pairs.where(close).select("a", "b").distinct()
 
 
 def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -242,11 +261,7 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     ties = shared.where("node != pivot").groupBy("node", "pivot").count()
     ties = ties.groupBy("node").agg(F.max(F.struct("count", -F.col("pivot"))).alias("m"))
     ties = ties.select(F.col("node").alias("b"), (-F.col("m")["col2"]).alias("a"))
-    size = lambda end: nodes.select(
-        F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}")
-    )
-    near = ties.join(size("b"), "b").join(size("a"), "a").where(_possible("n_a", "n_b", "bits_a", "bits_b"))
-    first = stored(_links(stored(near.select("a", "b").distinct(), "pairs"), docs), "links")
+    first = stored(_links(stored(_possible(ties, nodes), "pairs"), docs), "links")
     joined = stored(connected(first), "joined")
 
     # then what is still apart within a key, the smaller parts against all
@@ -257,18 +272,17 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
         F.max(F.struct("count", "component")).alias("m"), F.count(F.lit(1)).alias("parts")
     )
     main = stored(main.where("parts > 1").select("key", F.col("m")["component"].alias("main")), "mixed_keys")
-    apart = apart.join(main, "key").join(nodes, "node")
-    apart = stored(apart.select("key", "node", "component", "main", "n", "bits"), "apart")
-    one = apart.where("component != main").select(
-        "key", "main", *(F.col(c).alias(f"{c}_b") for c in ("node", "component", "n", "bits"))
-    )
-    other = apart.select("key", *(F.col(c).alias(f"{c}_a") for c in ("node", "component", "n", "bits")))
+    sizes = nodes.select("node", "n")
+    apart = stored(apart.join(main, "key").join(sizes, "node").select("key", "node", "component", "main", "n"), "apart")
+    one = apart.where("component != main").select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "component", "n")))
+    other = apart.select("key", "main", *(F.col(c).alias(f"{c}_a") for c in ("node", "component", "n")))
     across = one.join(other, "key").where(
         (F.col("component_a") != F.col("component_b"))
         & ((F.col("component_a") == F.col("main")) | (F.col("node_a") < F.col("node_b")))
-        & _possible("n_a", "n_b", "bits_a", "bits_b")
+        & _alike_in_size("n_a", "n_b")
     )
-    pairs = stored(across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "pairs")
+    across = stored(across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "across")
+    pairs = stored(_possible(across, nodes), "pairs")
     second = _links(pairs, docs)
     of = joined.select(F.col("node"), F.col("component"))
     lifted = second.join(of.select(F.col("node").alias("a"), F.col("component").alias("x")), "a", "left")
