@@ -184,6 +184,22 @@ def _alike_in_size(n_a: str, n_b: str) -> Column:
     return 4 * F.least(n_a, n_b) >= 3 * F.greatest(n_a, n_b)
 
 
+#: Parts of a bit sketch folded to 256 bits, which travel with every shared key.
+_FOLDS = ("s0", "s1", "s2", "s3")
+
+
+def _folds(bits: str) -> list[Column]:
+    part = lambda k: F.filter(bits, lambda x, i: i % 4 == k)
+    none = F.lit(0).cast("long")
+    return [F.aggregate(part(k), none, lambda a, b: a.bitwiseXOR(b)).alias(name) for k, name in enumerate(_FOLDS)]
+
+
+def _close_folds() -> Column:
+    """The folded sketches alone do not rule the pair out."""
+    apart = sum((F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in _FOLDS), F.lit(0))
+    return 7 * apart <= F.col("n_a") + F.col("n_b")
+
+
 def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) that neither sizes nor bit sketches rule out."""
     for end in "ab":
@@ -272,14 +288,16 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
         F.max(F.struct("count", "component")).alias("m"), F.count(F.lit(1)).alias("parts")
     )
     main = stored(main.where("parts > 1").select("key", F.col("m")["component"].alias("main")), "mixed_keys")
-    sizes = nodes.select("node", "n")
-    apart = stored(apart.join(main, "key").join(sizes, "node").select("key", "node", "component", "main", "n"), "apart")
-    one = apart.where("component != main").select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "component", "n")))
-    other = apart.select("key", "main", *(F.col(c).alias(f"{c}_a") for c in ("node", "component", "n")))
+    apart = apart.join(main, "key").join(nodes.select("node", "n", *_folds("bits")), "node")
+    own = ["node", "component", "n", *_FOLDS]
+    apart = stored(apart.select("key", "main", *own), "apart")
+    one = apart.where("component != main").select("key", *(F.col(c).alias(f"{c}_b") for c in own))
+    other = apart.select("key", "main", *(F.col(c).alias(f"{c}_a") for c in own))
     across = one.join(other, "key").where(
         (F.col("component_a") != F.col("component_b"))
         & ((F.col("component_a") == F.col("main")) | (F.col("node_a") < F.col("node_b")))
         & _alike_in_size("n_a", "n_b")
+        & _close_folds()
     )
     across = stored(across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "across")
     pairs = stored(_possible(across, nodes), "pairs")
