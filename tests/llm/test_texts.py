@@ -280,10 +280,10 @@ def test_levenshtein_walk_finds_all_terms():
 
     pick = random.Random(9)
     make = lambda low, high: "".join(pick.choice("abc") for _ in range(pick.randint(low, high)))
-    terms = {make(3, 11): pick.random() for _ in range(40)}
+    terms = {make(3, 15): pick.random() for _ in range(60)}
     lexicon = toxicity.Lexicon(terms)
     for _ in range(1500):
-        word = make(1, 12)
+        word = make(1, 16)
         near = [(distance(word, t), -w, t) for t, w in terms.items() if distance(word, t) <= toxicity.edits_allowed(t)]
         want = (min(near)[2], min(near)[0]) if near else None
         if word in terms:

@@ -33,84 +33,104 @@ ADDRESS = frozenset("you your youre u du dich dein deine ihr tu toi vous ton vot
 #: Words to either side of a hit that count as its context.
 CONTEXT = 5
 MEMO_WORDS = 300_000
+_BUILT: dict[tuple, "Lexicon"] = {}
 
 FEATURES = ("bias", "strongest", "exact", "exact_quoted", "near", "near_quoted", "addressed", "rate")
 
 
 def edits_allowed(term: str) -> int:
     """Short words differ from others by one letter too easily."""
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    return 0 if len(term) < 5 else 1 if len(term) < 12 else 2
+
+
+def _shortened(word: str) -> set[str]:
+    """The word, and the word without one of its letters. Two words within one
+    edit of each other have one of these in common."""
+    return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
 
 
 class Lexicon:
     """Terms with weights, as a trie, and the pieces of terms by length of word.
 
-    A word within k edits of a term keeps one of k + 1 pieces of it unchanged:
-    the first at its start, the last at its end, the middle one shifted by at
-    most k. A word with no such piece needs no walk through the trie.
+    A word within one edit of a term has its first or its second half unchanged,
+    and the other half shares a shortened form. A word within two edits has one
+    of three pieces unchanged: the first at its start, the last at its end, the
+    middle one shifted by at most two. A word of which this is not true needs no
+    walk through the trie.
     """
 
     def __init__(self, terms: dict[str, float]) -> None:
         self.terms = terms
         self.trie: dict = {}
-        self.heads: dict[int, dict[int, set[str]]] = {}
-        self.tails: dict[int, dict[int, set[str]]] = {}
-        self.middles: dict[int, dict[tuple[int, int], set[str]]] = {}
+        # by length of word: (start, end, edits) -> piece -> shortened rests, None for any
+        self.pieces: dict[int, dict[tuple[int, int, int], dict[str, set[str] | None]]] = {}
         self.memo: dict[str, tuple[str, int] | None] = {}
         for term in terms:
             node = self.trie
             for ch in term:
                 node = node.setdefault(ch, {})
             node[""] = term
-            k = edits_allowed(term)
-            if not k:
-                continue
-            n = len(term)
-            cut = n // (k + 1)
-            for size in range(n - k, n + k + 1):
-                self.heads.setdefault(size, {}).setdefault(cut, set()).add(term[:cut])
-                last = n - k * cut
-                self.tails.setdefault(size, {}).setdefault(last, set()).add(term[n - last :])
-                if k == 2:
+            k, n = edits_allowed(term), len(term)
+            for size in range(n - k, n + k + 1) if k else ():
+                known = self.pieces.setdefault(size, {})
+                if k == 1:
+                    cut = n // 2
+                    known.setdefault((0, cut, k), {}).setdefault(term[:cut], set()).update(_shortened(term[cut:]))
+                    tail = n - cut
+                    known.setdefault((size - tail, size, k), {}).setdefault(term[cut:], set()).update(_shortened(term[:cut]))
+                else:
+                    cut = n // 3
+                    tail = n - 2 * cut
                     for start in range(cut - k, cut + k + 1):
-                        self.middles.setdefault(size, {}).setdefault((start, cut), set()).add(term[cut : 2 * cut])
+                        known.setdefault((start, start + cut, k), {})[term[cut : 2 * cut]] = None
+                    known.setdefault((0, cut, k), {})[term[:cut]] = None
+                    known.setdefault((size - tail, size, k), {})[term[2 * cut :]] = None
 
     def _may_match(self, word: str) -> bool:
-        n = len(word)
-        for cut, pieces in self.heads.get(n, {}).items():
-            if word[:cut] in pieces:
+        for (start, end, _), pieces in self.pieces.get(len(word), {}).items():
+            rests = pieces.get(word[start:end], False)
+            if rests is None:
                 return True
-        for cut, pieces in self.tails.get(n, {}).items():
-            if word[n - cut :] in pieces:
-                return True
-        for (start, cut), pieces in self.middles.get(n, {}).items():
-            if start >= 0 and word[start : start + cut] in pieces:
+            if rests and not rests.isdisjoint(_shortened(word[:start] + word[end:])):
                 return True
         return False
 
     def nearest(self, word: str) -> tuple[str, int] | None:
         """The best term within its allowed edits, and the edits: fewest edits,
-        then the heaviest, then the first in order."""
+        then the heaviest, then the first in order.
+
+        The states of the word's automaton are bit sets: bit i of the j-th one
+        says that i letters of the word are read with j edits at most.
+        """
         if word in self.terms:
             return word, 0
         if not self._may_match(word):
             return None
+        n = len(word)
+        whole, last = (2 << n) - 1, 1 << n
+        where: dict[str, int] = {}
+        for i, ch in enumerate(word):
+            where[ch] = where.get(ch, 0) | 1 << i
         best = None
-        stack = [(self.trie, list(range(len(word) + 1)))]
+        stack = [(self.trie, 1, 3 & whole, 7 & whole)]
         while stack:
-            node, row = stack.pop()
+            node, r0, r1, r2 = stack.pop()
             for ch, child in node.items():
                 if not ch:
                     continue
-                new = [row[0] + 1]
-                for i, other in enumerate(word):
-                    new.append(min(row[i] + (other != ch), row[i + 1] + 1, new[i] + 1))
+                here = where.get(ch, 0)
+                n0 = (r0 & here) << 1
+                n1 = ((r1 & here) << 1 | r0 << 1 | r0 | n0 << 1) & whole
+                n2 = ((r2 & here) << 1 | r1 << 1 | r1 | n1 << 1) & whole
+                if not n2:
+                    continue
                 term = child.get("")
-                if term is not None and new[-1] <= edits_allowed(term):
-                    found = (new[-1], -self.terms[term], term)
-                    best = found if best is None else min(best, found)
-                if min(new) <= 2:
-                    stack.append((child, new))
+                if term is not None:
+                    edits = 0 if n0 & last else 1 if n1 & last else 2 if n2 & last else 3
+                    if edits <= edits_allowed(term):
+                        found = (edits, -self.terms[term], term)
+                        best = found if best is None else min(best, found)
+                stack.append((child, n0, n1, n2))
         return None if best is None else (best[2], best[0])
 
     def lookup(self, word: str) -> tuple[str, int] | None:
@@ -123,6 +143,15 @@ class Lexicon:
         return found
 
 
+def lexicon_of(terms: dict[str, float]) -> Lexicon:
+    """The lexicon of these terms, built once per worker."""
+    key = tuple(sorted(terms.items()))
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = Lexicon(terms)
+    return _BUILT[key]
+
+
 def _quoted(text: str, start: int, end: int, words: Sequence[str]) -> bool:
     """In a context window: quotation marks on both sides, or a reporting word."""
     left = text[max(0, start - 40) : start]
@@ -225,7 +254,7 @@ class Model:
         self.terms, self.weights = terms, weights
 
     def scorer(self):
-        lexicon, weights = Lexicon(self.terms), self.weights
+        lexicon, weights = lexicon_of(self.terms), self.weights
 
         def score(text: str | None) -> float:
             z = sum(a * b for a, b in zip(features(text, lexicon), weights))
@@ -258,7 +287,7 @@ def train(
     sample = rows_of_ids(docs.select(id_column, text), id_column, ids).join(known, id_column)
 
     def make():
-        lexicon = Lexicon(terms)
+        lexicon = lexicon_of(terms)
         return lambda texts: ([features(t, lexicon) for t in texts],)
 
     rows = map_texts(sample, [label], text, make, "x array<double>").collect()
