@@ -76,6 +76,8 @@ def top_k(
     queries = vectors.where(is_query)
     blocks = 1 + queries.count() // BLOCK_QUERIES
     vectors = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    # aliases make columns of their own, so that the two sides of a cogroup stay apart
+    queries = queries.select(*(F.col(c).alias(f"q_{c}") for c in ("vec_id", "v", "dim"))).toDF("vec_id", "v", "dim")
     queries = (
         queries.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
