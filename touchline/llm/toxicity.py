@@ -3,7 +3,7 @@
 The lexicon is learned: words that stand in toxic documents far more often than
 chance allows. A trie holds it. Each distinct word of a text runs through the
 trie with the rows of its Levenshtein automaton, which finds terms within one
-edit (two for long terms) in one walk. A term's hits count apart by what stands
+edit in one walk. A term's hits count apart by what stands
 around them: quotation marks and reporting words, or direct address. A logistic
 model on these counts, fitted on the same bounded sample, gives the score.
 """
@@ -35,12 +35,16 @@ CONTEXT = 5
 MEMO_WORDS = 300_000
 _BUILT: dict[tuple, "Lexicon"] = {}
 
+#: Least log odds of a term. Words that are merely somewhat commoner in toxic
+#: documents stay out.
+LEAST_ODDS = 4.0
+
 FEATURES = ("bias", "strongest", "exact", "exact_quoted", "near", "near_quoted", "addressed", "rate")
 
 
 def edits_allowed(term: str) -> int:
     """Short words differ from others by one letter too easily."""
-    return 0 if len(term) < 5 else 1 if len(term) < 12 else 2
+    return 0 if len(term) < 5 else 1
 
 
 def _shortened(word: str) -> set[str]:
@@ -50,47 +54,34 @@ def _shortened(word: str) -> set[str]:
 
 
 class Lexicon:
-    """Terms with weights, as a trie, and the pieces of terms by length of word.
+    """Terms with weights, as a trie, and the halves of terms by length of word.
 
     A word within one edit of a term has its first or its second half unchanged,
-    and the other half shares a shortened form. A word within two edits has one
-    of three pieces unchanged: the first at its start, the last at its end, the
-    middle one shifted by at most two. A word of which this is not true needs no
-    walk through the trie.
+    and the other half shares a shortened form. A word of which this is not true
+    needs no walk through the trie.
     """
 
     def __init__(self, terms: dict[str, float]) -> None:
         self.terms = terms
         self.trie: dict = {}
-        # by length of word: (start, end, edits) -> piece -> shortened rests, None for any
-        self.pieces: dict[int, dict[tuple[int, int, int], dict[str, set[str] | None]]] = {}
+        # by length of word: (start, end) of a half -> half -> shortened forms of the other
+        self.halves: dict[int, dict[tuple[int, int], dict[str, set[str]]]] = {}
         self.memo: dict[str, tuple[str, int] | None] = {}
         for term in terms:
             node = self.trie
             for ch in term:
                 node = node.setdefault(ch, {})
             node[""] = term
-            k, n = edits_allowed(term), len(term)
-            for size in range(n - k, n + k + 1) if k else ():
-                known = self.pieces.setdefault(size, {})
-                if k == 1:
-                    cut = n // 2
-                    known.setdefault((0, cut, k), {}).setdefault(term[:cut], set()).update(_shortened(term[cut:]))
-                    tail = n - cut
-                    known.setdefault((size - tail, size, k), {}).setdefault(term[cut:], set()).update(_shortened(term[:cut]))
-                else:
-                    cut = n // 3
-                    tail = n - 2 * cut
-                    for start in range(cut - k, cut + k + 1):
-                        known.setdefault((start, start + cut, k), {})[term[cut : 2 * cut]] = None
-                    known.setdefault((0, cut, k), {})[term[:cut]] = None
-                    known.setdefault((size - tail, size, k), {})[term[2 * cut :]] = None
+            n, cut = len(term), len(term) // 2
+            for size in (n - 1, n, n + 1) if edits_allowed(term) else ():
+                known = self.halves.setdefault(size, {})
+                known.setdefault((0, cut), {}).setdefault(term[:cut], set()).update(_shortened(term[cut:]))
+                low = size - n + cut
+                known.setdefault((low, size), {}).setdefault(term[cut:], set()).update(_shortened(term[:cut]))
 
     def _may_match(self, word: str) -> bool:
-        for (start, end, _), pieces in self.pieces.get(len(word), {}).items():
-            rests = pieces.get(word[start:end], False)
-            if rests is None:
-                return True
+        for (start, end), known in self.halves.get(len(word), {}).items():
+            rests = known.get(word[start:end])
             if rests and not rests.isdisjoint(_shortened(word[:start] + word[end:])):
                 return True
         return False
@@ -112,25 +103,24 @@ class Lexicon:
         for i, ch in enumerate(word):
             where[ch] = where.get(ch, 0) | 1 << i
         best = None
-        stack = [(self.trie, 1, 3 & whole, 7 & whole)]
+        stack = [(self.trie, 1, 3)]
         while stack:
-            node, r0, r1, r2 = stack.pop()
+            node, r0, r1 = stack.pop()
             for ch, child in node.items():
                 if not ch:
                     continue
                 here = where.get(ch, 0)
                 n0 = (r0 & here) << 1
                 n1 = ((r1 & here) << 1 | r0 << 1 | r0 | n0 << 1) & whole
-                n2 = ((r2 & here) << 1 | r1 << 1 | r1 | n1 << 1) & whole
-                if not n2:
+                if not n1:
                     continue
                 term = child.get("")
                 if term is not None:
-                    edits = 0 if n0 & last else 1 if n1 & last else 2 if n2 & last else 3
+                    edits = 0 if n0 & last else 1 if n1 & last else 2
                     if edits <= edits_allowed(term):
                         found = (edits, -self.terms[term], term)
                         best = found if best is None else min(best, found)
-                stack.append((child, n0, n1, n2))
+                stack.append((child, n0, n1))
         return None if best is None else (best[2], best[0])
 
     def lookup(self, word: str) -> tuple[str, int] | None:
@@ -229,7 +219,7 @@ def learn_lexicon(
     kept = (
         counts.where("word != ''")
         .select("word", odds.alias("odds"), ratio.alias("ratio"))
-        .where((F.col("odds") > 2) & (F.col("ratio") > 2 * math.log(max(2, n_words)) + 5))
+        .where((F.col("odds") > LEAST_ODDS) & (F.col("ratio") > 2 * math.log(max(2, n_words)) + 5))
         .orderBy(F.desc("ratio"), "word")
         .limit(most_terms)
     )
