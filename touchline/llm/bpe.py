@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 
-from touchline.llm.common import map_texts
+from touchline.llm.common import map_texts, worker_cache
 
 #: Words a worker remembers; beyond it, it forgets all of them and starts anew.
 MEMO_WORDS = 400_000
@@ -24,21 +24,20 @@ MEMO_WORDS = 400_000
 MEMO_BYTES = 64
 
 _ONE = [bytes([b]) for b in range(256)]
-_LOADED: dict[str, dict[bytes, int]] = {}
-_MEMO: dict[str, dict[str, bytes]] = {}
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
     """Token bytes to rank, of a file with one "base64 rank" line per token."""
-    if path not in _LOADED:
+    cache = worker_cache("bpe")
+    if path not in cache:
         ranks = {}
         with open(path, "rb") as lines:
             for line in lines:
                 if line.strip():
                     token, rank = line.split()
                     ranks[base64.b64decode(token)] = int(rank)
-        _LOADED[path] = ranks
-    return _LOADED[path]
+        cache[path] = ranks
+    return cache[path]
 
 
 def replay_merges(words: Sequence[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
@@ -124,7 +123,7 @@ def encoder(path: str, pattern: str) -> Callable[[Iterable[str]], list[bytes]]:
     import regex
 
     ranks, find = load_ranks(path), regex.compile(pattern).findall
-    memo = _MEMO.setdefault(path, {})
+    memo: dict[str, bytes] = worker_cache("bpe").setdefault((path, pattern), {})
 
     def encode(texts: Iterable[str]) -> list[bytes]:
         split = [find(t or "") for t in texts]

@@ -15,6 +15,19 @@ from touchline.session import scratch_dir
 SLICE_BYTES = 1 << 20
 
 
+_CACHES: dict[str, dict] = {}
+
+
+def worker_cache(operator: str) -> dict:
+    """What an operator keeps in a Python worker from task to task. A worker
+    keeps that of one operator only: the next operator's task drops it, so a
+    worker that serves many stages needs no more memory than the largest."""
+    if operator not in _CACHES:
+        _CACHES.clear()
+        _CACHES[operator] = {}
+    return _CACHES[operator]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -18,15 +18,14 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from touchline.llm.common import held_out, map_texts, rows_of_ids
+from touchline.llm.common import held_out, map_texts, rows_of_ids, worker_cache
 
 UNDETERMINED = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 #: Parsed words a worker remembers; beyond it, it starts anew.
-MEMO_WORDS = 300_000
-_BUILT: dict[tuple, "CrossParser"] = {}
+MEMO_WORDS = 200_000
 
 
 class SuffixAutomaton:
@@ -173,10 +172,11 @@ def identify_languages(
     key = tuple(samples)
 
     def make():
-        parser = _BUILT.get(key)
+        cache = worker_cache("langid")
+        parser = cache.get(key)
         if parser is None:
-            _BUILT.clear()
-            parser = _BUILT[key] = CrossParser(key)
+            cache.clear()
+            parser = cache[key] = CrossParser(key)
 
         def work(texts):
             made = [parser.predict(t) for t in texts]

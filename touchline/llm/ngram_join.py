@@ -27,7 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from touchline.llm.common import _slices, map_texts, stored
+from touchline.llm.common import _slices, map_texts, stored, worker_cache
 from touchline.llm.components import connected
 from touchline.llm.shingles import mix, shingle_sets
 
@@ -105,6 +105,7 @@ def _profile(docs: DataFrame) -> DataFrame:
     each task's share of the histogram (``part`` and ``counts``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("ngram_join")
         counters = np.zeros(_COUNTERS, dtype=np.uint32)
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
@@ -261,6 +262,7 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     order = spark.sparkContext.broadcast(counters)
 
     def make():
+        worker_cache("ngram_join")
         return lambda texts: ([join_keys(s, order.value).view(np.int64) for s in shingle_sets(texts, WIDTH)],)
 
     keys = map_texts(docs.where("doc_id is not null"), ["doc_id"], "text", make, "keys array<long>")

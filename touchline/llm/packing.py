@@ -19,10 +19,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from touchline.llm.common import stored
+from touchline.llm.common import stored, worker_cache
 
 #: Chunks of text whose ids a worker remembers; beyond it, it starts anew.
-MEMO_CHUNKS = 600_000
+MEMO_CHUNKS = 400_000
 MEMO_BYTES = 64
 
 #: Open windows merged by one task at the end.
@@ -31,7 +31,6 @@ MERGED_WINDOWS = 4096
 _PIECE = (
     "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 )
-_MEMOS: dict[str, "_Memo"] = {}
 
 # A full stop or comma after anything but a letter, digit or space.
 _SYMBOL_RUN = re.compile(r"[\W_](?<!\s)[.,][ \n]")
@@ -62,9 +61,10 @@ def tokenizer(path: str) -> Callable[[str], bytes]:
     after a letter or digit and before white space is a token of its own; where
     one follows another symbol, the text's chunks stay as they are.
     """
-    memo = _MEMOS.get(path)
+    cache = worker_cache("packing")
+    memo = cache.get(path)
     if memo is None:
-        memo = _MEMOS[path] = _Memo(path)
+        memo = cache[path] = _Memo(path)
 
     def encode(text: str) -> bytes:
         if len(memo) > MEMO_CHUNKS:

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from touchline.llm.common import bounded_ids, map_texts, rows_of_ids
+from touchline.llm.common import bounded_ids, map_texts, rows_of_ids, worker_cache
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -363,6 +363,7 @@ def find_pii(
     weights = None if tagger is None else (tagger.hidden, tagger.p)
 
     def make():
+        worker_cache("pii")
         model = None
         if weights is not None:
             model = Tagger(weights[0])
@@ -390,6 +391,7 @@ def mask_pii(docs: DataFrame, tagger: Tagger | None, text: str = "text") -> Data
     weights = None if tagger is None else (tagger.hidden, tagger.p)
 
     def make():
+        worker_cache("pii")
         model = None
         if weights is not None:
             model = Tagger(weights[0])

@@ -17,7 +17,7 @@ _PLACE = np.random.default_rng(77).integers(1, 1 << 63, 64, dtype=np.uint64) | _
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 #: Bytes hashed at once; longer texts are cut at white space.
-_CHUNK = 1 << 22
+_CHUNK = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -29,7 +29,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 20)
         for k, base in enumerate((_P, _INVERSE)):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from touchline.llm.common import bounded_ids, held_out, map_texts, rows_of_ids
+from touchline.llm.common import bounded_ids, held_out, map_texts, rows_of_ids, worker_cache
 
 _WORD = re.compile(r"[^\W\d_]+")
 _QUOTES = "\"'«»“”„‘’‹›"
@@ -32,8 +32,7 @@ ADDRESS = frozenset("you your youre u du dich dein deine ihr tu toi vous ton vot
 
 #: Words to either side of a hit that count as its context.
 CONTEXT = 5
-MEMO_WORDS = 300_000
-_BUILT: dict[tuple, "Lexicon"] = {}
+MEMO_WORDS = 200_000
 
 #: Least log odds of a term. Words that are merely somewhat commoner in toxic
 #: documents stay out.
@@ -136,10 +135,11 @@ class Lexicon:
 def lexicon_of(terms: dict[str, float]) -> Lexicon:
     """The lexicon of these terms, built once per worker."""
     key = tuple(sorted(terms.items()))
-    if key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[key] = Lexicon(terms)
-    return _BUILT[key]
+    cache = worker_cache("toxicity")
+    if key not in cache:
+        cache.clear()
+        cache[key] = Lexicon(terms)
+    return cache[key]
 
 
 def _quoted(text: str, start: int, end: int, words: Sequence[str]) -> bool:
@@ -186,6 +186,7 @@ def learn_lexicon(
     marked = sample.join(labels, id_column)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("toxicity")
         found: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for t, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
