@@ -14,6 +14,9 @@ from touchline.session import scratch_dir
 #: Bytes of text a Python task handles at once; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
 
+#: Bytes of an Arrow batch between Spark and a Python task.
+BATCH_BYTES = 4 << 20
+
 
 _CACHES: dict[str, dict] = {}
 
@@ -48,6 +51,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """Let the session send texts to Python in small batches: the default counts
+    rows, and ten thousand long texts at once would fill a worker."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return docs
+
+
 def _slices(sizes: Sequence[int]) -> Iterator[tuple[int, int]]:
     start = total = 0
     for i, size in enumerate(sizes):
@@ -90,7 +100,7 @@ def map_texts(
     own = "_text"
     while own in kept:
         own += "_"
-    return docs.select(*kept, F.col(text).cast("string").alias(own)).mapInArrow(run, schema)
+    return small_batches(docs).select(*kept, F.col(text).cast("string").alias(own)).mapInArrow(run, schema)
 
 
 def bounded_ids(df: DataFrame, column: str, most: int) -> list:

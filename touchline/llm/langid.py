@@ -25,7 +25,7 @@ UNDETERMINED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 
 #: Parsed words a worker remembers; beyond it, it starts anew.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 100_000
 
 
 class SuffixAutomaton:

@@ -27,7 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from touchline.llm.common import _slices, map_texts, stored, worker_cache
+from touchline.llm.common import _slices, map_texts, small_batches, stored, worker_cache
 from touchline.llm.components import connected
 from touchline.llm.shingles import mix, shingle_sets
 
@@ -142,7 +142,7 @@ def _profile(docs: DataFrame) -> DataFrame:
             names=["doc_id", "n", "fp", "bits", "part", "counts"],
         )
 
-    return docs.mapInArrow(run, _PROFILE)
+    return small_batches(docs).mapInArrow(run, _PROFILE)
 
 
 def _histogram(profile: DataFrame) -> np.ndarray:

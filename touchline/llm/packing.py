@@ -19,10 +19,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from touchline.llm.common import stored, worker_cache
+from touchline.llm.common import small_batches, stored, worker_cache
 
 #: Chunks of text whose ids a worker remembers; beyond it, it starts anew.
-MEMO_CHUNKS = 400_000
+MEMO_CHUNKS = 300_000
 MEMO_BYTES = 64
 
 #: Open windows merged by one task at the end.
@@ -195,7 +195,7 @@ def pack_documents(
             yield batch(rows)
         yield batch([(*r[:7], r[7] if keep_ids else None, True) for r in _rows(window)])
 
-    packed = stored(docs.select(id_column, F.col(text).cast("string")).mapInArrow(first, schema), "pieces")
+    packed = stored(small_batches(docs).select(id_column, F.col(text).cast("string")).mapInArrow(first, schema), "pieces")
     left = packed.where(~F.col("closed"))
     tasks = 1 + left.where(F.col("offset") == 0).count() // MERGED_WINDOWS
     merged = (

@@ -32,7 +32,7 @@ ADDRESS = frozenset("you your youre u du dich dein deine ihr tu toi vous ton vot
 
 #: Words to either side of a hit that count as its context.
 CONTEXT = 5
-MEMO_WORDS = 200_000
+MEMO_WORDS = 100_000
 
 #: Least log odds of a term. Words that are merely somewhat commoner in toxic
 #: documents stay out.
