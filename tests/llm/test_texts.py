@@ -319,6 +319,20 @@ def test_toxicity(spark, odd, odd_rows, none):
     assert toxicity.score_toxicity(none, model).count() == 0
 
 
+def test_long_terms_take_two_edits():
+    lexicon = toxicity.Lexicon({"vollpfostenkopf": 3.0, "mistvieh": 3.0})
+    assert lexicon.nearest("volpfostnkopf") == ("vollpfostenkopf", 2)
+    assert lexicon.nearest("vollpfxstenkxpf") == ("vollpfostenkopf", 2)
+    assert lexicon.nearest("volpfstnkopf") is None and lexicon.nearest("mstvih") is None
+
+
+def test_terms_that_clean_documents_quote_are_learned(spark):
+    rows = [(i, f"wort{i % 7} " + ("mistvieh" if i % 3 == 0 or i % 40 == 1 else "tier")) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    assert set(toxicity.train(docs, marks).terms) == {"mistvieh"}
+
+
 # --- licenses --------------------------------------------------------------------
 
 

@@ -3,7 +3,7 @@
 The lexicon is learned: words that stand in toxic documents far more often than
 chance allows. A trie holds it. Each distinct word of a text runs through the
 trie with the rows of its Levenshtein automaton, which finds terms within one
-edit in one walk. A term's hits count apart by what stands
+edit (two for long terms) in one walk. A term's hits count apart by what stands
 around them: quotation marks and reporting words, or direct address. A logistic
 model on these counts, fitted on the same bounded sample, gives the score.
 """
@@ -34,16 +34,16 @@ ADDRESS = frozenset("you your youre u du dich dein deine ihr tu toi vous ton vot
 CONTEXT = 5
 MEMO_WORDS = 100_000
 
-#: Least log odds of a term. Words that are merely somewhat commoner in toxic
-#: documents stay out.
-LEAST_ODDS = 4.0
+#: Least log odds of a term. Clean documents may quote a term now and then; what
+#: chance alone explains is ruled out by the likelihood ratio.
+LEAST_ODDS = 2.0
 
 FEATURES = ("bias", "strongest", "exact", "exact_quoted", "near", "near_quoted", "addressed", "rate")
 
 
 def edits_allowed(term: str) -> int:
     """Short words differ from others by one letter too easily."""
-    return 0 if len(term) < 5 else 1
+    return 0 if len(term) < 5 else 1 if len(term) < 12 else 2
 
 
 def _shortened(word: str) -> set[str]:
@@ -52,12 +52,24 @@ def _shortened(word: str) -> set[str]:
     return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
 
 
+def _letter_bits(word: str) -> int:
+    """The letters of a word as a bit set. Each edit adds one bit at most, and
+    takes one away at most."""
+    bits = 0
+    for ch in word:
+        bits |= 1 << (ord(ch) & 63)
+    return bits
+
+
 class Lexicon:
-    """Terms with weights, as a trie, and the halves of terms by length of word.
+    """Terms with weights, as a trie, and the pieces of terms by length of word.
 
     A word within one edit of a term has its first or its second half unchanged,
-    and the other half shares a shortened form. A word of which this is not true
-    needs no walk through the trie.
+    and the other half shares a shortened form. A word within two edits has one
+    of three pieces unchanged: the first at its start, the last at its end, the
+    middle one shifted by at most two; and it has at most two letters the term
+    lacks, and lacks at most two. A word of which this is not true needs no walk
+    through the trie.
     """
 
     def __init__(self, terms: dict[str, float]) -> None:
@@ -65,25 +77,47 @@ class Lexicon:
         self.trie: dict = {}
         # by length of word: (start, end) of a half -> half -> shortened forms of the other
         self.halves: dict[int, dict[tuple[int, int], dict[str, set[str]]]] = {}
+        # by length of word: (start, end) of a third -> third -> letters of its long terms
+        self.thirds: dict[int, dict[tuple[int, int], dict[str, set[int]]]] = {}
         self.memo: dict[str, tuple[str, int] | None] = {}
         for term in terms:
             node = self.trie
             for ch in term:
                 node = node.setdefault(ch, {})
             node[""] = term
-            n, cut = len(term), len(term) // 2
-            for size in (n - 1, n, n + 1) if edits_allowed(term) else ():
+            k, n, cut = edits_allowed(term), len(term), len(term) // 2
+            if k == 2:
+                self._add_thirds(term)
+            for size in (n - 1, n, n + 1) if k == 1 else ():
                 known = self.halves.setdefault(size, {})
                 known.setdefault((0, cut), {}).setdefault(term[:cut], set()).update(_shortened(term[cut:]))
                 low = size - n + cut
                 known.setdefault((low, size), {}).setdefault(term[cut:], set()).update(_shortened(term[:cut]))
 
-    def _may_match(self, word: str) -> bool:
+    def _add_thirds(self, term: str) -> None:
+        n, cut, letters = len(term), len(term) // 3, _letter_bits(term)
+        tail = n - 2 * cut
+        for size in range(n - 2, n + 3):
+            known = self.thirds.setdefault(size, {})
+            places = [(0, term[:cut]), (size - tail, term[2 * cut :])]
+            places += [(start, term[cut : 2 * cut]) for start in range(cut - 2, cut + 3)]
+            for start, piece in places:
+                known.setdefault((start, start + len(piece)), {}).setdefault(piece, set()).add(letters)
+
+    def _edits_to_try(self, word: str) -> int:
+        """The edits a walk must allow to find all terms; 0 when it finds none."""
+        letters = None
+        for (start, end), known in self.thirds.get(len(word), {}).items():
+            held = known.get(word[start:end])
+            if held:
+                letters = letters or _letter_bits(word)
+                if any((t & ~letters).bit_count() <= 2 and (letters & ~t).bit_count() <= 2 for t in held):
+                    return 2
         for (start, end), known in self.halves.get(len(word), {}).items():
             rests = known.get(word[start:end])
             if rests and not rests.isdisjoint(_shortened(word[:start] + word[end:])):
-                return True
-        return False
+                return 1
+        return 0
 
     def nearest(self, word: str) -> tuple[str, int] | None:
         """The best term within its allowed edits, and the edits: fewest edits,
@@ -94,7 +128,8 @@ class Lexicon:
         """
         if word in self.terms:
             return word, 0
-        if not self._may_match(word):
+        most = self._edits_to_try(word)
+        if not most:
             return None
         n = len(word)
         whole, last = (2 << n) - 1, 1 << n
@@ -102,24 +137,25 @@ class Lexicon:
         for i, ch in enumerate(word):
             where[ch] = where.get(ch, 0) | 1 << i
         best = None
-        stack = [(self.trie, 1, 3)]
+        stack = [(self.trie, 1, 3 & whole, 7 & whole)]
         while stack:
-            node, r0, r1 = stack.pop()
+            node, r0, r1, r2 = stack.pop()
             for ch, child in node.items():
                 if not ch:
                     continue
                 here = where.get(ch, 0)
                 n0 = (r0 & here) << 1
                 n1 = ((r1 & here) << 1 | r0 << 1 | r0 | n0 << 1) & whole
-                if not n1:
+                n2 = ((r2 & here) << 1 | r1 << 1 | r1 | n1 << 1) & whole if most == 2 else n1
+                if not n2:
                     continue
                 term = child.get("")
                 if term is not None:
-                    edits = 0 if n0 & last else 1 if n1 & last else 2
+                    edits = 0 if n0 & last else 1 if n1 & last else 2 if n2 & last else 3
                     if edits <= edits_allowed(term):
                         found = (edits, -self.terms[term], term)
                         best = found if best is None else min(best, found)
-                stack.append((child, n0, n1))
+                stack.append((child, n0, n1, n2))
         return None if best is None else (best[2], best[0])
 
     def lookup(self, word: str) -> tuple[str, int] | None:
