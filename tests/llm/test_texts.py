@@ -226,6 +226,27 @@ def test_nested_layers(odd, odd_rows, none):
     assert secret_scan.find_secrets(none).count() == 0
 
 
+def test_wrapped_and_shifted_blobs():
+    secret = "token=abcdefghijklmnop"
+    noise = "".join(random.Random(5).choice("ghjkmpqrvwxyz ,") for _ in range(700))
+    plain, packed = f"{noise[:47]}{secret}{noise}".encode(), gzip.compress(f"{noise}{secret}{noise[:99]}".encode())
+    found = lambda t: {t[s:e] for s, _, e in secret_scan.decoded_spans(t)}
+    for width in (64, 76):
+        for raw in (plain, packed, zlib.compress(plain)):
+            blob = base64.b64encode(raw).decode()
+            for end in ("\n", "\r\n", "\n  "):
+                wrapped = end.join(blob[i : i + width] for i in range(0, len(blob), width))
+                for before, after in (("", ""), ("-----BEGIN KEY-----\n", "\n-----END KEY-----\n"), ("data: ", "\nand more words")):
+                    assert wrapped in found(before + wrapped + after), (width, end, before)
+    for raw in (plain, packed, zlib.compress(plain)):
+        blob = base64.urlsafe_b64encode(raw).decode().rstrip("=")
+        for before in ("v1/", "files/v1-", "a/bb/", "download/x_"):
+            assert blob in found(f"https://x.org/{before}{blob}?a"), before
+    members = gzip.compress(b"first member") + gzip.compress(secret.encode())
+    assert len(found(base64.b64encode(members).decode())) == 1
+    assert secret_scan.decoded_spans("a-very-long-word-at-the-end\nand\nmore\n" * 3) == []
+
+
 # --- languages -------------------------------------------------------------------
 
 

@@ -32,6 +32,9 @@ _NAMES = ("passw", "secret", "token", "api")
 _ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#x[0-9A-Fa-f]{1,6};")
 _ESCAPED_RUN = re.compile(r"\S+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+_NEXT_LINE = re.compile(r"[ \t]*\r?\n[ \t>]*(?!--)([A-Za-z0-9+/_-]+={0,2})(?![A-Za-z0-9+/_=-])")
+_BLOB_ENDS = re.compile(r"[ \t]*(?:\r?\n|\Z)|[^\s\w]")
+_BREAK = re.compile(r"[+/]")
 
 #: A decompressed layer is scanned in windows of this many bytes, overlapping by
 #: ``WINDOW_OVERLAP``, so memory is bounded whatever it unpacks to.
@@ -103,19 +106,29 @@ def _unescape(run: str) -> tuple[str, list[int]]:
 
 
 def _inflated(raw: bytes) -> Iterator[bytes]:
-    """The windows of a zlib or gzip stream; nothing when it is none."""
-    unpack, rest, window = zlib.decompressobj(47), raw, b""
-    try:
-        while rest and not unpack.eof:
-            window += unpack.decompress(rest, WINDOW_BYTES)
-            rest = unpack.unconsumed_tail
-            if len(window) >= WINDOW_BYTES:
-                yield window
-                window = window[-WINDOW_OVERLAP:]
-    except zlib.error:
-        pass
+    """The windows of zlib or gzip streams that follow one another, and what
+    stands behind the last one; nothing when the first is none."""
+    rest, window = raw, b""
+    while _is_packed(rest):
+        unpack = zlib.decompressobj(47)
+        try:
+            while not unpack.eof:
+                more = unpack.decompress(rest, WINDOW_BYTES)
+                rest = unpack.unconsumed_tail
+                if not more and not rest:
+                    break
+                window += more
+                if len(window) >= WINDOW_BYTES:
+                    yield window
+                    window = window[-WINDOW_OVERLAP:]
+        except zlib.error:
+            rest = b""
+            break
+        rest = unpack.unused_data.lstrip(b"\0")
     if window:
         yield window
+    if rest and rest is not raw:
+        yield rest
 
 
 def _readable(raw: bytes) -> str | None:
@@ -131,6 +144,67 @@ def _is_packed(raw: bytes) -> bool:
     return raw[:2] == b"\x1f\x8b" or len(raw) > 2 and raw[0] == 0x78 and (raw[0] * 256 + raw[1]) % 31 == 0
 
 
+def _wrapped(text: str, first: re.Match) -> list[range]:
+    """The lines of a base64 blob that begins with this run: lines of one width,
+    and a last one that may be shorter. The first may begin within its line."""
+    lines, padded, width = [range(*first.span())], first.group().endswith("="), len(first.group())
+    while not padded and (m := _NEXT_LINE.match(text, lines[-1].stop)):
+        n = len(m.group(1))
+        after = _NEXT_LINE.match(text, m.end())
+        if len(lines) == 1 and (n > width or after and len(after.group(1)) == n):
+            width = n
+        padded = m.group(1).endswith("=")
+        if n > width or n < width and not padded and not _BLOB_ENDS.match(text, m.end()):
+            break
+        lines.append(range(*m.span(1)))
+        if n < width:
+            break
+    return lines
+
+
+def _blobs(text: str) -> Iterator[tuple[str, list[range]]]:
+    """Base64 runs with their places, and runs of consecutive lines as one."""
+    until = 0
+    for m in _BASE64.finditer(text):
+        yield m.group(), [range(*m.span())]
+        if m.start() < until:
+            continue
+        lines = _wrapped(text, m)
+        if len(lines) > 1:
+            yield "".join(text[x.start : x.stop] for x in lines), lines
+            # a first line of another width may be none, so the second can begin a blob too
+            until = lines[-1].stop if len(lines[0]) == len(lines[1]) else lines[0].stop
+
+
+def _decoded(blob: str) -> Iterator[tuple[str, int]]:
+    """Texts in a base64 run, and where in the run they begin. What stands before
+    a blob in a path looks like base64 too, so a blob may begin after any break:
+    a packed one is known by its first bytes, others need one start of each
+    remainder modulo 4, as all of them read the same bytes from there on."""
+    blob = blob.rstrip("=").replace("-", "+").replace("_", "/")
+    breaks = [m.end() for m in _BREAK.finditer(blob) if len(blob) - m.end() >= 20]
+    first = {0: 0}
+    for at in breaks:
+        first.setdefault(at % 4, at)
+    if len(blob) % 4 == 1:
+        for at in (1, 2, 3):
+            first.setdefault(at, at)
+    packed = {at for at in breaks if blob[at] in "He" and _is_packed(base64.b64decode(blob[at : at + 4]))}
+    for at in sorted({*first.values(), *packed}):
+        size = len(blob) - at
+        size -= size % 4 == 1  # one more letter holds no byte
+        try:
+            raw = base64.b64decode(blob[at : at + size] + "=" * (-size % 4))
+        except (binascii.Error, ValueError):
+            continue
+        unpacked = False
+        for window in _inflated(raw):
+            unpacked = True
+            yield window.decode("utf-8", "replace"), at
+        if not unpacked and (inner := _readable(raw)) is not None:
+            yield inner, at
+
+
 def _layers(text: str) -> Iterator[tuple[str, list[tuple[int, int]] | tuple[int, int]]]:
     """Layers directly inside a layer: its text, and the place of each character
     in the outer layer, or one place for all of them."""
@@ -148,19 +222,13 @@ def _layers(text: str) -> Iterator[tuple[str, list[tuple[int, int]] | tuple[int,
             inner, places = _unescape(run.group())
             base = run.start()
             yield inner, [(base + a, base + b) for a, b in zip(places, places[1:])]
-    for m in _BASE64.finditer(text):
-        blob = m.group().rstrip("=").replace("-", "+").replace("_", "/")
-        if len(blob) % 4 == 1:
-            continue
-        try:
-            raw = base64.b64decode(blob + "=" * (-len(blob) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        if _is_packed(raw):
-            for window in _inflated(raw):
-                yield window.decode("utf-8", "replace"), m.span()
-        elif (inner := _readable(raw)) is not None:
-            yield inner, m.span()
+    for blob, lines in _blobs(text):
+        for inner, at in _decoded(blob):
+            for line in lines:
+                if at < len(line):
+                    break
+                at -= len(line)
+            yield inner, (line.start + at, lines[-1].stop)
 
 
 def decoded_spans(text: str) -> list[Span]:
