@@ -247,6 +247,19 @@ def test_wrapped_and_shifted_blobs():
     assert secret_scan.decoded_spans("a-very-long-word-at-the-end\nand\nmore\n" * 3) == []
 
 
+def test_escapes_around_blanks():
+    found = lambda t: [t[s:e] for s, _, e in secret_scan.decoded_spans(t)]
+    quote = "\\" + "u0022"
+    for secret in (
+        f"password{quote}: {quote}abcdefghijkl", "secret%3A abcdefghijklmnop", "token: %22abcdefghijklmnop", "api_key&#61; &#34;abcdefghijklmnop",
+        "token%253A  %2522abcdefghijklmnop",
+    ):
+        assert found(f"a %41\n  say {secret} or {quote} é") == [secret]
+    blob = base64.b64encode(b"see token=abcdefghijklmnop there").decode()
+    coded = blob[:22] + "%0A" + blob[22:]
+    assert found(f"%7B {coded} %7D") == [coded]
+
+
 # --- languages -------------------------------------------------------------------
 
 

@@ -13,8 +13,10 @@ import binascii
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from touchline.llm.common import map_texts
@@ -42,6 +44,7 @@ WINDOW_BYTES = 1 << 20
 WINDOW_OVERLAP = 4096
 
 Span = tuple[int, int, int]  # start, kind, end
+Places = tuple[np.ndarray, np.ndarray]  # start and end of every character
 
 
 def base_spans(text: str) -> list[Span]:
@@ -57,11 +60,11 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-def _unescape(run: str) -> tuple[str, list[int]]:
+def _unescape(run: str) -> tuple[str, np.ndarray]:
     """The run with its escapes decoded, and per character where it begins; the
     last entry is the run's end. Bytes that are no UTF-8 stay as Latin-1."""
     out: list[str] = []
-    places: list[int] = []
+    places = array("q")
     pending: list[tuple[int, int]] = []  # percent and \x bytes
 
     def flush() -> None:
@@ -85,7 +88,7 @@ def _unescape(run: str) -> tuple[str, list[int]]:
     for m in _ESCAPE.finditer(run):
         if m.start() > end:
             flush()
-            out.extend(run[end : m.start()])
+            out.append(run[end : m.start()])
             places.extend(range(end, m.start()))
         esc, at = m.group(), m.start()
         if esc[0] == "%":
@@ -99,10 +102,10 @@ def _unescape(run: str) -> tuple[str, list[int]]:
             places.append(at)
         end = m.end()
     flush()
-    out.extend(run[end:])
+    out.append(run[end:])
     places.extend(range(end, len(run)))
     places.append(len(run))
-    return "".join(out), places
+    return "".join(out), np.array(places)
 
 
 def _inflated(raw: bytes) -> Iterator[bytes]:
@@ -205,10 +208,17 @@ def _decoded(blob: str) -> Iterator[tuple[str, int]]:
             yield inner, at
 
 
-def _layers(text: str) -> Iterator[tuple[str, list[tuple[int, int]] | tuple[int, int]]]:
+def _layers(text: str) -> Iterator[tuple[str, Places | tuple[int, int]]]:
     """Layers directly inside a layer: its text, and the place of each character
-    in the outer layer, or one place for all of them."""
-    if "%" in text or "\\" in text or "&#" in text:
+    in the outer layer, or one place for all of them.
+
+    Escapes are decoded in the layer as a whole, as a secret may have blanks and
+    plain parts between them, and in each run without white space by itself, as
+    what stands before a run may use up its beginning.
+    """
+    if ("%" in text or "\\" in text or "&#" in text) and _ESCAPE.search(text):
+        inner, places = _unescape(text)
+        yield inner, (places[:-1], places[1:])
         end = -1
         for m in _ESCAPE.finditer(text):
             if m.start() < end:
@@ -221,7 +231,7 @@ def _layers(text: str) -> Iterator[tuple[str, list[tuple[int, int]] | tuple[int,
             end = run.end()
             inner, places = _unescape(run.group())
             base = run.start()
-            yield inner, [(base + a, base + b) for a, b in zip(places, places[1:])]
+            yield inner, (base + places[:-1], base + places[1:])
     for blob, lines in _blobs(text):
         for inner, at in _decoded(blob):
             for line in lines:
@@ -238,26 +248,26 @@ def decoded_spans(text: str) -> list[Span]:
     work = [(text, None)]
     while work:
         layer, places = work.pop()
-        for inner, at in _layers(layer):
-            if isinstance(at, tuple):
-                if isinstance(places, list):
-                    at = (places[at[0]][0], places[at[1] - 1][1])
-                elif places is not None:
-                    at = places
-            elif isinstance(places, list):
-                at = [(places[a][0], places[b - 1][1]) for a, b in at]
+        for inner, (starts, ends) in _layers(layer):
+            one = isinstance(starts, int)
+            if not inner:
+                continue
+            if places is not None and isinstance(places[0], int):
+                starts, ends, one = *places, True
+            elif places is not None and one:
+                starts, ends = int(places[0][starts]), int(places[1][ends - 1])
             elif places is not None:
-                at = places
+                starts, ends = places[0][starts], places[1][ends - 1]
             # the same text elsewhere is another layer, so the place counts
-            mark = repr(at if isinstance(at, tuple) else (at[0][0], at[-1][1]) if at else ())
+            mark = repr((starts, ends) if one else (int(starts[0]), int(ends[-1])))
             key = hashlib.blake2b(f"{mark}\0{inner}".encode("utf-8", "replace"), digest_size=16).digest()
-            if key in seen or not inner:
+            if key in seen:
                 continue
             seen.add(key)
             for start, kind, end in base_spans(inner):
-                lo, hi = at if isinstance(at, tuple) else (at[start][0], at[end - 1][1])
+                lo, hi = (starts, ends) if one else (int(starts[start]), int(ends[end - 1]))
                 found.add((lo, kind, hi))
-            work.append((inner, at))
+            work.append((inner, (starts, ends)))
     return sorted(found)
 
 
