@@ -260,6 +260,22 @@ def test_escapes_around_blanks():
     assert found(f"%7B {coded} %7D") == [coded]
 
 
+def test_layers_that_begin_unreadable_or_are_cut():
+    b64 = lambda b: base64.b64encode(b).decode()
+    secret = b"token=abcdefghijklmnop"
+    for raw in (b"\0" * 512 + secret, secret + b"\xff", b"\x08\x96\x01\x12" * 9 + secret, b"\0\xfe" * 300 + b64(secret).encode()):
+        assert len(secret_scan.decoded_spans(f"a {b64(raw)} b")) == 1
+    pick = random.Random(8)
+    noise = lambda n: bytes(pick.choice(b"ghjk(pqr") for _ in range(n))
+    size = secret_scan.WINDOW_BYTES
+    for nested in (noise(9000) + secret + noise(9000), gzip.compress(noise(30_000) + secret), b"%41" * 3000 + b"\n" + secret):
+        for before in (size - 9000, size - 5000, size - 9):
+            layer = b"(" * before + b" " + b64(nested).encode() + b" (" * 99
+            assert len(secret_scan.decoded_spans(f"a {b64(gzip.compress(layer))} b")) == 1
+    lone = b64(b"(" * 13_000_000 + secret + b"(" * 900)
+    assert len(secret_scan.decoded_spans(f"a {b64(gzip.compress(lone.encode(), 1))} b")) == 1
+
+
 # --- languages -------------------------------------------------------------------
 
 

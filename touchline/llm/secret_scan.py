@@ -36,11 +36,19 @@ _ESCAPED_RUN = re.compile(r"\S+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 _NEXT_LINE = re.compile(r"[ \t]*\r?\n[ \t>]*(?!--)([A-Za-z0-9+/_-]+={0,2})(?![A-Za-z0-9+/_=-])")
 _BLOB_ENDS = re.compile(r"[ \t]*(?:\r?\n|\Z)|[^\s\w]")
-_BREAK = re.compile(r"[+/]")
+_BREAK = re.compile(r"[+/](?=.{20})", re.S)
+_PACKED_BREAK = re.compile(r"[+/](?=(?:H4s|e[A-P]).{17})", re.S)
 
-#: A decompressed layer is scanned in windows of this many bytes, overlapping by
-#: ``WINDOW_OVERLAP``, so memory is bounded whatever it unpacks to.
+#: A decompressed layer is scanned in windows of about this many bytes. They end
+#: before a byte that secrets, escapes and base64, also in lines, cannot hold.
 WINDOW_BYTES = 1 << 20
+_GOES_ON = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=.%\\&#;:\"'> \t\r\n"
+_IN_BLOB = _GOES_ON[:66]
+
+#: Without such a byte a window grows to this many, so memory is bounded whatever
+#: a layer unpacks to. The next one then overlaps it, and begins at a multiple of
+#: four letters of a base64 run: plain base64 in one line stays readable.
+MOST_WINDOW_BYTES = 16 << 20
 WINDOW_OVERLAP = 4096
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -108,6 +116,16 @@ def _unescape(run: str) -> tuple[str, np.ndarray]:
     return "".join(out), np.array(places)
 
 
+def _cut(window: bytes) -> tuple[int, int]:
+    """The end of a full window and the start of the next; 0 to let it grow."""
+    end = len(window.rstrip(_GOES_ON))
+    if end or len(window) < MOST_WINDOW_BYTES:
+        return end, end
+    start = len(window) - WINDOW_OVERLAP
+    run = len(window.rstrip(_IN_BLOB))
+    return len(window), start - max(0, start - run) % 4
+
+
 def _inflated(raw: bytes) -> Iterator[bytes]:
     """The windows of zlib or gzip streams that follow one another, and what
     stands behind the last one; nothing when the first is none."""
@@ -122,8 +140,10 @@ def _inflated(raw: bytes) -> Iterator[bytes]:
                     break
                 window += more
                 if len(window) >= WINDOW_BYTES:
-                    yield window
-                    window = window[-WINDOW_OVERLAP:]
+                    end, start = _cut(window)
+                    if end:
+                        yield window[:end]
+                        window = window[start:]
         except zlib.error:
             rest = b""
             break
@@ -134,15 +154,6 @@ def _inflated(raw: bytes) -> Iterator[bytes]:
         yield rest
 
 
-def _readable(raw: bytes) -> str | None:
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    odd = sum(1 for c in text[:256] if not (c.isprintable() or c in "\t\r\n"))
-    return text if odd * 10 <= min(len(text), 256) else None
-
-
 def _is_packed(raw: bytes) -> bool:
     return raw[:2] == b"\x1f\x8b" or len(raw) > 2 and raw[0] == 0x78 and (raw[0] * 256 + raw[1]) % 31 == 0
 
@@ -185,14 +196,15 @@ def _decoded(blob: str) -> Iterator[tuple[str, int]]:
     a packed one is known by its first bytes, others need one start of each
     remainder modulo 4, as all of them read the same bytes from there on."""
     blob = blob.rstrip("=").replace("-", "+").replace("_", "/")
-    breaks = [m.end() for m in _BREAK.finditer(blob) if len(blob) - m.end() >= 20]
     first = {0: 0}
-    for at in breaks:
-        first.setdefault(at % 4, at)
+    for m in _BREAK.finditer(blob):
+        first.setdefault(m.end() % 4, m.end())
+        if len(first) == 4:
+            break
     if len(blob) % 4 == 1:
         for at in (1, 2, 3):
             first.setdefault(at, at)
-    packed = {at for at in breaks if blob[at] in "He" and _is_packed(base64.b64decode(blob[at : at + 4]))}
+    packed = {at for m in _PACKED_BREAK.finditer(blob) if _is_packed(base64.b64decode(blob[(at := m.end()) : at + 4]))}
     for at in sorted({*first.values(), *packed}):
         size = len(blob) - at
         size -= size % 4 == 1  # one more letter holds no byte
@@ -204,8 +216,8 @@ def _decoded(blob: str) -> Iterator[tuple[str, int]]:
         for window in _inflated(raw):
             unpacked = True
             yield window.decode("utf-8", "replace"), at
-        if not unpacked and (inner := _readable(raw)) is not None:
-            yield inner, at
+        if not unpacked:
+            yield raw.decode("utf-8", "replace"), at
 
 
 def _layers(text: str) -> Iterator[tuple[str, Places | tuple[int, int]]]:
@@ -225,8 +237,8 @@ def _layers(text: str) -> Iterator[tuple[str, Places | tuple[int, int]]]:
                 continue
             low = max(end, 0)
             start = max(low, 1 + max(text.rfind(c, low, m.start()) for c in " \n\t\r"))
-            run = _ESCAPED_RUN.match(text, start)
-            while run and run.end() <= m.start():
+            run = _ESCAPED_RUN.search(text, start)
+            while run.end() <= m.start():
                 run = _ESCAPED_RUN.search(text, run.end())
             end = run.end()
             inner, places = _unescape(run.group())
