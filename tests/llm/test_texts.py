@@ -383,6 +383,22 @@ def test_terms_that_clean_documents_quote_are_learned(spark):
     assert set(toxicity.train(docs, marks).terms) == {"mistvieh"}
 
 
+def test_disguised_terms():
+    lexicon = toxicity.Lexicon({"idiot": 4.0, "worthless": 3.0, "stupid": 2.0, "vollpfostenkopf": 5.0})
+    for text, term in {
+        "you id1ot": "idiot", "a wor_thless thing": "worthless", "so st*pid, no": "stupid", "x,id1ot": "idiot", "id1ot/und": "idiot",
+        "der v*llpf*stenkopf": "vollpfostenkopf", "der voll--pfostenkopf": "vollpfostenkopf", "a\u200bb wor\u200bthless": "worthless",
+    }.items():
+        x = dict(zip(toxicity.FEATURES, toxicity.features(text, lexicon)))
+        assert x["near"] == pytest.approx(np.log(2)) and x["exact"] == 0, text
+        edits = 2 if term == "vollpfostenkopf" else 1
+        assert x["strongest"] == pytest.approx(lexicon.terms[term] / (1 + edits)), text
+    for text in ("id ot", "id12ot", "it's a well-known id", "st\npid", "i-d-i-o-t"):
+        assert toxicity.features(text, lexicon) == [1.0] + [0.0] * 7, text
+    x = dict(zip(toxicity.FEATURES, toxicity.features("stupid-s", lexicon)))
+    assert x["exact"] == pytest.approx(np.log(2)) and x["near"] == 0  # counted once
+
+
 # --- licenses --------------------------------------------------------------------
 
 

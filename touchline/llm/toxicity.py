@@ -3,7 +3,8 @@
 The lexicon is learned: words that stand in toxic documents far more often than
 chance allows. A trie holds it. Each distinct word of a text runs through the
 trie with the rows of its Levenshtein automaton, which finds terms within one
-edit (two for long terms) in one walk. A term's hits count apart by what stands
+edit (two for long terms) in one walk. So do words joined by a digit or symbol,
+which disguises a term. A term's hits count apart by what stands
 around them: quotation marks and reporting words, or direct address. A logistic
 model on these counts, fitted on the same bounded sample, gives the score.
 """
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
@@ -22,6 +24,9 @@ from pyspark.sql import DataFrame, functions as F
 from touchline.llm.common import bounded_ids, held_out, map_texts, rows_of_ids, worker_cache
 
 _WORD = re.compile(r"[^\W\d_]+")
+# One or two digits or symbols between letters. A term has letters only, so with
+# two edits a disguised one has no more than two of them.
+_INNER = re.compile(r"(?<=[^\W\d_])(?:[\W\d_](?<!\s)){1,2}(?=[^\W\d_])")
 _QUOTES = "\"'«»“”„‘’‹›"
 
 # Words of reporting, and of direct address, in four languages.
@@ -185,22 +190,54 @@ def _quoted(text: str, start: int, end: int, words: Sequence[str]) -> bool:
     return any(q in left for q in _QUOTES) and any(q in right for q in _QUOTES) or not REPORTING.isdisjoint(words)
 
 
+def _disguised(text: str, lookup, spans: Sequence[tuple[int, int]], hits: dict) -> dict[int, tuple]:
+    """By number of its first word: the term that words with digits or symbols
+    between them make, its edits, and the last word's number. Words that are
+    hits by themselves are not part of one, nor is any word part of two."""
+    gaps = [m.span() for m in _INNER.finditer(text)]
+    if not gaps:
+        return {}
+    starts = [s for s, _ in spans]
+    found: dict[int, tuple] = {}
+    taken = -1
+    for n, (left, right) in enumerate(gaps):
+        last = bisect_left(starts, right)
+        ends = [last]
+        if right - left == 1 and n + 1 < len(gaps) and gaps[n + 1][0] == spans[last][1] and gaps[n + 1][1] == gaps[n + 1][0] + 1:
+            ends.append(last + 1)
+        best = None
+        for end in ends:
+            parts = range(last - 1, end + 1)
+            if parts[0] <= taken or any(text[slice(*spans[i])] in hits for i in parts):
+                continue
+            f = lookup(text[spans[last - 1][0] : spans[end][1]])
+            if f is not None and (best is None or f[1] < best[1]):
+                best = (*f, end)
+        if best is not None:
+            found[last - 1] = best
+            taken = best[2]
+    return found
+
+
 def features(text: str | None, lexicon: Lexicon) -> list[float]:
     """The values named in ``FEATURES``; a text without hits has the bias only."""
     text = (text or "").lower()
     lookup = lexicon.lookup
     words = _WORD.findall(text)
     hits = {w: f for w in set(words) if (f := lookup(w)) is not None}
-    if not hits:
+    spans = [m.span() for m in _WORD.finditer(text)] if hits or _INNER.search(text) else []
+    disguised = _disguised(text, lookup, spans, hits) if spans else {}
+    if not hits and not disguised:
         return [1.0] + [0.0] * (len(FEATURES) - 1)
     strongest, counts, addressed, total = 0.0, [[0, 0], [0, 0]], 0, 0
-    spans = [m.span() for m in _WORD.finditer(text)]
     for i, w in enumerate(words):
-        found = hits.get(w)
+        found, last = hits.get(w), i
+        if found is None and i in disguised:
+            *found, last = disguised[i]
         if found is None:
             continue
-        around = words[max(0, i - CONTEXT) : i] + words[i + 1 : i + 1 + CONTEXT]
-        quoted = _quoted(text, *spans[i], around)
+        around = words[max(0, i - CONTEXT) : i] + words[last + 1 : last + 1 + CONTEXT]
+        quoted = _quoted(text, spans[i][0], spans[last][1], around)
         counts[found[1] > 0][quoted] += 1
         addressed += not quoted and not ADDRESS.isdisjoint(around)
         strongest = max(strongest, lexicon.terms[found[0]] / (1 + found[1]) / (1 + quoted))
