@@ -66,6 +66,27 @@ def _letter_bits(word: str) -> int:
     return bits
 
 
+def _within_two(word: str, where: dict[str, int], term: str) -> bool:
+    """Whether the word's automaton, as in ``Lexicon.nearest``, accepts the term."""
+    whole, r0, r1, r2 = (2 << len(word)) - 1, 1, 3, 7
+    for ch in term:
+        here = where.get(ch, 0)
+        n0 = (r0 & here) << 1
+        n1 = (r1 & here) << 1 | r0 << 1 | r0 | n0 << 1
+        r2 = ((r2 & here) << 1 | r1 << 1 | r1 | n1 << 1) & whole
+        if not r2:
+            return False
+        r0, r1 = n0, n1 & whole
+    return bool(r2 >> len(word))
+
+
+def _letter_places(word: str) -> dict[str, int]:
+    where: dict[str, int] = {}
+    for i, ch in enumerate(word):
+        where[ch] = where.get(ch, 0) | 1 << i
+    return where
+
+
 class Lexicon:
     """Terms with weights, as a trie, and the pieces of terms by length of word.
 
@@ -73,8 +94,8 @@ class Lexicon:
     and the other half shares a shortened form. A word within two edits has one
     of three pieces unchanged: the first at its start, the last at its end, the
     middle one shifted by at most two; and it has at most two letters the term
-    lacks, and lacks at most two. A word of which this is not true needs no walk
-    through the trie.
+    lacks, and lacks at most two. A word of which this is not true, or that no long
+    term of such a piece is near to, needs no walk with two edits.
     """
 
     def __init__(self, terms: dict[str, float]) -> None:
@@ -82,8 +103,8 @@ class Lexicon:
         self.trie: dict = {}
         # by length of word: (start, end) of a half -> half -> shortened forms of the other
         self.halves: dict[int, dict[tuple[int, int], dict[str, set[str]]]] = {}
-        # by length of word: (start, end) of a third -> third -> letters of its long terms
-        self.thirds: dict[int, dict[tuple[int, int], dict[str, set[int]]]] = {}
+        # by length of word: (start, end) of a third -> third -> long terms, with their letters
+        self.thirds: dict[int, dict[tuple[int, int], dict[str, dict[str, int]]]] = {}
         self.memo: dict[str, tuple[str, int] | None] = {}
         for term in terms:
             node = self.trie
@@ -107,17 +128,20 @@ class Lexicon:
             places = [(0, term[:cut]), (size - tail, term[2 * cut :])]
             places += [(start, term[cut : 2 * cut]) for start in range(cut - 2, cut + 3)]
             for start, piece in places:
-                known.setdefault((start, start + len(piece)), {}).setdefault(piece, set()).add(letters)
+                known.setdefault((start, start + len(piece)), {}).setdefault(piece, {})[term] = letters
 
     def _edits_to_try(self, word: str) -> int:
         """The edits a walk must allow to find all terms; 0 when it finds none."""
-        letters = None
+        letters = where = None
         for (start, end), known in self.thirds.get(len(word), {}).items():
             held = known.get(word[start:end])
             if held:
                 letters = letters or _letter_bits(word)
-                if any((t & ~letters).bit_count() <= 2 and (letters & ~t).bit_count() <= 2 for t in held):
-                    return 2
+                for term, t in held.items():
+                    if (t & ~letters).bit_count() <= 2 and (letters & ~t).bit_count() <= 2:
+                        where = where or _letter_places(word)
+                        if _within_two(word, where, term):
+                            return 2
         for (start, end), known in self.halves.get(len(word), {}).items():
             rests = known.get(word[start:end])
             if rests and not rests.isdisjoint(_shortened(word[:start] + word[end:])):
@@ -138,9 +162,7 @@ class Lexicon:
             return None
         n = len(word)
         whole, last = (2 << n) - 1, 1 << n
-        where: dict[str, int] = {}
-        for i, ch in enumerate(word):
-            where[ch] = where.get(ch, 0) | 1 << i
+        where = _letter_places(word)
         best = None
         stack = [(self.trie, 1, 3 & whole, 7 & whole)]
         while stack:
