@@ -315,6 +315,18 @@ def test_languages(spark, odd, odd_rows, none):
     assert {r["lang_pred"] for r in langid.identify_languages(odd, []).collect()} == {"und"}
 
 
+def test_a_long_document_does_not_fill_a_language(spark):
+    pick = random.Random(3)
+    long = " ".join("".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(2000))
+    rows = [(i, long if i % 2 else f"xxshort{'abcdefghij'[i // 2 % 10]}{'abcdefghij'[i // 20]}", "aa") for i in range(60)]
+    ((_, text),) = langid.learn_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_letters=4000)
+    learned = text.split()
+    for i, t, _ in rows:
+        if i % 2 == 0 and zlib.crc32(str(i).encode()) % 4 != 2:
+            assert t in learned
+    assert {w[0] for w in learned} >= set("abcmxyz") and 4000 <= sum(map(len, learned)) < 4010
+
+
 # --- toxicity --------------------------------------------------------------------
 
 

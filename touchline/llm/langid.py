@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Sequence
 
@@ -122,7 +123,8 @@ def learn_languages(
 ) -> list[tuple[str, str]]:
     """A text per language: the distinct words of at most ``most_documents``
     labelled, not held-out documents of it, chosen by hash of their id, up to
-    ``most_letters``. All languages stop at the same bound, so that none gets
+    ``most_letters``. Words come by hash, and each document gives an equal share
+    of the bound first; what short ones leave goes to the others. All languages stop at the same bound, so that none gets
     longer matches merely for having more text.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(id_column))
@@ -132,24 +134,46 @@ def learn_languages(
         .withColumn("_rank", F.row_number().over(ranks))
         .where(F.col("_rank") <= most_documents)
     )
-    sample = rows_of_ids(known, id_column, [r[0] for r in picked.select(id_column).collect()])
+    ids = picked.select(id_column, lang).collect()
+    sample = rows_of_ids(known, id_column, [r[0] for r in ids])
+    counts = Counter(r[1] for r in ids)
 
     def make():
         def work(texts):
-            return ([sorted(set(letters_of(t or "")))[:most_letters] for t in texts],)
+            made = []
+            for t in texts:
+                words, used = [], 0
+                for w in sorted(set(letters_of(t or "")), key=lambda w: (zlib.crc32(w.encode()), w)):
+                    if used >= most_letters:
+                        break
+                    words.append(w)
+                    used += len(w)
+                made.append(words)
+            return (made,)
 
         return work
 
     words = map_texts(sample, [id_column, lang], text, make, "words array<string>")
     seen: dict[str, dict[str, int]] = {}
+    spare: dict[str, dict[str, int]] = {}
     for row in words.orderBy(F.xxhash64(id_column), id_column).toLocalIterator():
-        own = seen.setdefault(row[lang], {})
-        if sum(own.values()) < most_letters:
-            own.update((w, len(w)) for w in row["words"])
+        name = row[lang]
+        own, rest = seen.setdefault(name, {}), spare.setdefault(name, {})
+        share, used = most_letters // counts[name], 0
+        left = most_letters - sum(rest.values())
+        for w in row["words"]:
+            if w in own:
+                continue
+            if used + len(w) <= share:
+                own[w] = len(w)
+                used += len(w)
+            elif left > 0 and w not in rest:
+                rest[w] = len(w)
+                left -= len(w)
     made = []
     for name in sorted(seen):
         parts, used = [], 0
-        for w, n in seen[name].items():
+        for w, n in {**seen[name], **{w: n for w, n in spare[name].items() if w not in seen[name]}}.items():
             if used >= most_letters:
                 break
             parts.append(w)
