@@ -51,6 +51,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def small_batches(docs: DataFrame) -> DataFrame:
     """Let the session send texts to Python in small batches: the default counts
     rows, and ten thousand long texts at once would fill a worker."""

@@ -83,3 +83,20 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_ba
   coalesce((SELECT max(c / size) FROM c WHERE c.row = d.row), 0.0) AS score
 FROM d LEFT JOIN bs ON bs.row = d.row
 """
+
+LINE_DEDUP = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), l AS (
+  SELECT row, doc_id, unnest(ls) AS line, unnest(range(0, len(ls))) AS i FROM d
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{lic.UPPER}', '{lic.LOWER}') AS key FROM l
+), m AS (
+  SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+), s AS (
+  SELECT row, k.doc_id, line, i, m.first IS NULL OR m.first = k.doc_id AS stays FROM k LEFT JOIN m USING (key)
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT stays) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE stays), '')) AS kept_sha256
+FROM s GROUP BY row
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from touchline.llm import (
-    ann_codes, bpe, langid, license_scan, ngram_join, oracles, packing, pii, secret_scan, topk_exact, toxicity,
+    ann_codes, bpe, langid, license_scan, line_dedup, ngram_join, oracles, packing, pii, secret_scan, topk_exact, toxicity,
 )
 from touchline.llm.common import held_out, table
 
@@ -131,8 +131,16 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines an earlier document has."""
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 ORACLES |= {
     "op1_ngram_join": oracles.NGRAM_JOIN,
     "op3_topk": oracles.EXACT_TOP_K,
     "op6_licenses": oracles.LICENSES,
+    "op12_line_dedup": oracles.LINE_DEDUP,
 }
