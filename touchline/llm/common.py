@@ -86,7 +86,8 @@ def map_texts(
 
     ``make()`` runs once per task and gives a function from a list of texts
     (None for null) to one list per column of ``out``. Rows come in slices of
-    about a megabyte, so a task's memory follows its longest text.
+    about a megabyte, so a task's memory follows its longest text. A text that
+    is kept as well goes to Python once.
     """
     schema = T.StructType([*(docs.schema[k] for k in keep), *T.StructType.fromDDL(out)])
     arrow = to_arrow_schema(schema)
@@ -95,7 +96,7 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            texts = batch.column(len(kept))
+            texts = batch.column(at)
             sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
             for start, end in _slices(sizes):
                 made = work(texts.slice(start, end - start).to_pylist())
@@ -106,7 +107,10 @@ def map_texts(
     own = "_text"
     while own in kept:
         own += "_"
-    return small_batches(docs).select(*kept, F.col(text).cast("string").alias(own)).mapInArrow(run, schema)
+    whole = text in kept and docs.schema[text].dataType == T.StringType()
+    at = kept.index(text) if whole else len(kept)
+    sent = small_batches(docs).select(*kept, *([] if whole else [F.col(text).cast("string").alias(own)]))
+    return sent.mapInArrow(run, schema)
 
 
 def bounded_ids(df: DataFrame, column: str, most: int) -> list:

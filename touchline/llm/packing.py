@@ -9,17 +9,18 @@ fill windows up.
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
 from array import array
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from touchline.llm.common import small_batches, stored, worker_cache
+from touchline.llm.common import _slices, small_batches, stored, worker_cache
 
 #: Chunks of text whose ids a worker remembers; beyond it, it starts anew.
 MEMO_CHUNKS = 300_000
@@ -32,52 +33,69 @@ _PIECE = (
     "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 )
 
-# A full stop or comma after anything but a letter, digit or space.
-_SYMBOL_RUN = re.compile(r"[\W_](?<!\s)[.,][ \n]")
+_ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
-class _Memo(dict):
-    """Packed ids by chunk of text; what is missing is tokenized."""
+class Encoder:
+    """Ids of texts, packed as little-endian 32-bit integers.
+
+    The tokenizer drops white space and never joins what white space parts, so
+    the ids of a text are those of its chunks. It lower-cases, so ASCII capitals
+    may go first, unless the text may name a special token or has combining marks. A stop or comma at the
+    end of a chunk is a token of its own behind an ASCII letter or digit; any other
+    chunk is left whole to the tokenizer, which gets all new chunks of many texts
+    in one call. Short chunks are remembered.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        ids = array("I", self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids).tobytes()
-        if len(chunk) <= MEMO_BYTES:
-            self[chunk] = ids
-        return ids
-
-
-def tokenizer(path: str) -> Callable[[str], bytes]:
-    """A function from a text to its ids, packed as little-endian 32-bit integers.
-
-    The tokenizer drops white space and never joins what white space parts, so
-    the ids of a text are those of its chunks. It lower-cases, so ASCII capitals
-    may go first, unless the text may name a special token. A stop or comma
-    after a letter or digit and before white space is a token of its own; where
-    one follows another symbol, the text's chunks stay as they are.
-    """
+        self.memo: dict[bytes, bytes] = {}
+
+    def _tokenize(self, chunks: list[bytes]) -> list[bytes]:
+        # a batch on threads costs more processor time than one call for each chunk
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        found = self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
+        return [array("I", f.ids).tobytes() for f in found]
+
+    def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
+        """Remember new chunks; gives the ids of those too long for it."""
+        stopped = [c for c in chunks if len(c) > 1 and c[-1] in b".," and c[-2] in _ALNUM]
+        # the whole memory may be dropped, so parts of a chunk are taken anew
+        parts = {p for c in stopped for p in (c[:-1], c[-1:])}
+        asked = list(parts.union(chunks.difference(stopped)))
+        ids = dict(zip(asked, self._tokenize(asked)))
+        ids.update({c: ids[c[:-1]] + ids[c[-1:]] for c in stopped})
+        self.memo.update((c, i) for c, i in ids.items() if len(c) <= MEMO_BYTES)
+        return {c: i for c, i in ids.items() if len(c) > MEMO_BYTES}
+
+    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
+        if len(self.memo) > MEMO_CHUNKS:
+            self.memo.clear()
+        split = []
+        for text in texts:
+            raw = (text or "").encode()
+            # combining marks (U+0300 to U+037F) may join a capital before it is lowered
+            as_is = b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw
+            split.append((raw if as_is else raw.lower()).split())
+        new = set().union(*split) - self.memo.keys()
+        long = self._learn(new) if new else {}
+        find = self.memo.__getitem__ if not long else lambda c: long[c] if len(c) > MEMO_BYTES else self.memo[c]
+        return [b"".join(map(find, chunks)) for chunks in split]
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder a worker keeps from task to task."""
     cache = worker_cache("packing")
-    memo = cache.get(path)
-    if memo is None:
-        memo = cache[path] = _Memo(path)
+    if path not in cache:
+        cache[path] = Encoder(path)
+    return cache[path]
 
-    def encode(text: str) -> bytes:
-        if len(memo) > MEMO_CHUNKS:
-            memo.clear()
-        raw = text.encode()
-        if "<|" not in text:
-            raw = raw.lower()
-        if not _SYMBOL_RUN.search(text):
-            for a, b in ((b". ", b" . "), (b".\n", b" .\n"), (b", ", b" , "), (b",\n", b" ,\n")):
-                raw = raw.replace(a, b)
-        return b"".join(map(memo.__getitem__, raw.split()))
 
-    return encode
+def tokenizer(path: str) -> Callable[[str], bytes]:
+    """A function from one text to its packed ids."""
+    return lambda text: encoder(path).encode([text])[0]
 
 
 class _Windows:
@@ -139,7 +157,8 @@ def pack_documents(
 
     The first pass moves no rows. Its pieces are written to the shared folder,
     from which those of open windows are merged. Each merging task leaves one
-    window that is not full.
+    window that is not full. Texts reach the tokenizer about a megabyte at a time, a
+    longer one alone.
     """
     schema = T.StructType([docs.schema[id_column], *T.StructType.fromDDL(_PIECE), *T.StructType.fromDDL("closed boolean")])
     arrow = to_arrow_schema(schema)
@@ -149,7 +168,7 @@ def pack_documents(
         return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = tokenizer(tokenizer_path), array("I", [end_id]).tobytes()
+        coder, end = encoder(tokenizer_path), array("I", [end_id]).tobytes()
         windows = _Windows(size, open_windows, TaskContext.get().partitionId() << 32)
         rows: list[tuple] = []
         held = 0
@@ -161,17 +180,19 @@ def pack_documents(
             return 64 * (len(rows) - before) + (4 * size if keep_ids else 0)
 
         for b in batches:
-            for doc, t in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = encode(t.as_py() or "") + end
-                total, step = len(ids) // 4, 4 * size
-                for at in range(0, len(ids), step):
-                    piece = (doc, at // 4, ids[at : at + step], total)
-                    for window in windows.place(piece):
-                        held += close(window)
-                if held > 4 << 20:
-                    yield batch(rows)
-                    rows.clear()
-                    held = 0
+            for low, high in _slices(pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist()):
+                part = b.slice(low, high - low)
+                for doc, ids in zip(part.column(0).to_pylist(), coder.encode(part.column(1).to_pylist())):
+                    ids += end
+                    total, step = len(ids) // 4, 4 * size
+                    for at in range(0, len(ids), step):
+                        piece = (doc, at // 4, ids[at : at + step], total)
+                        for window in windows.place(piece):
+                            held += close(window)
+                    if held > 4 << 20:
+                        yield batch(rows)
+                        rows.clear()
+                        held = 0
         yield batch(rows)
         for window in windows.open:
             yield batch([(*row, False) for row in _rows(window)])

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from touchline.llm import (
-    ann_codes, bpe, langid, license_scan, line_dedup, ngram_join, oracles, packing, pii, secret_scan, topk_exact, toxicity,
+    ann_codes, bpe, conversation_repair, hard_negatives, langid, license_scan, line_dedup, ngram_join, oracles, packing, pii,
+    secret_scan, topk_exact, toxicity,
 )
 from touchline.llm.common import held_out, table
 
@@ -131,6 +132,13 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every damaged conversation with its faults and its cheapest repair."""
+    rows = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.audit_conversations(rows, there=F.col("there")).drop("n_rows")
+
+
 @query
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines an earlier document has."""
@@ -138,9 +146,19 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every anchor and positive."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    relabelled = rows.select("vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"))
+    return hard_negatives.hard_negatives(relabelled)
+
+
 ORACLES |= {
     "op1_ngram_join": oracles.NGRAM_JOIN,
     "op3_topk": oracles.EXACT_TOP_K,
     "op6_licenses": oracles.LICENSES,
     "op12_line_dedup": oracles.LINE_DEDUP,
+    "op13_hard_negatives": oracles.HARD_NEGATIVES,
 }
