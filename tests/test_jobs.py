@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from touchline.operators.counts import goal_count
 from touchline.plans import medallion as jobs
-from touchline.sources import lake, sinks
+from touchline.schemas import BRONZE, LINEAGE
+from touchline.sources import changes, lake, sinks
 from touchline.sources.pages import page_elements, with_elements
 from touchline.streaming.incremental import ingest_stream
 
@@ -171,3 +172,136 @@ def test_lineups_and_events_without_content(spark):
     assert row["l"]["home"]["starting_xi"] == [] and row["l"]["away"]["substitutes"] == []
     assert row["s"] == {} and row["h"]["home_team"] is None and row["i"]["referee"] is None
     assert (row["n"], row["c"], row["w"]) == (0, [], None)
+
+
+def document(i, week, home="A", away="B", score=1, day=1, season="2025/26"):
+    info = {"home_team": home, "away_team": away, "home_score": str(score), "away_score": "0"}
+    return (i, None, season, week, None, info, {"Shots": '{"home": "%d", "away": "1"}' % day}, {}, None, None, None, f"f{day}.json", 0, i, dt.datetime(2025, 8, day))
+
+
+LANDED = f"{BRONZE}, _corrupt_record string, source_file string, source_block bigint, source_pos bigint, ingested_at timestamp"
+
+
+def run_documents(spark, root, rows, stamp, **args):
+    docs = None if rows is None else spark.createDataFrame(rows, LANDED)
+    args = {"all_teams": True, **args}
+    return jobs.run_medallion(spark, root, None, None, documents=docs, skip_ingest=rows is None, stamp=stamp, **args).collect()
+
+
+def silver_places(spark, root):
+    return sorted((r["match_id"], r["season"], r["matchweek"]) for r in spark.read.parquet(f"{root}/silver").collect())
+
+
+def gold_rows(spark, root):
+    return sorted((r["match_id"], r["club"], r["matchweek"], r["result"]) for r in spark.read.parquet(f"{root}/gold").collect())
+
+
+def test_moved_match_stands_once(spark, tmp_path):
+    root = str(tmp_path)
+    run_documents(spark, root, [document(1, 5), document(2, 5, "A", "C"), document(3, 6)], "1")
+    counts = run_documents(spark, root, [document(1, 9, "A", "D", 0, day=2)], "2")
+    assert silver_places(spark, root) == [(1, "2025/26", 9), (2, "2025/26", 5), (3, "2025/26", 6)]
+    assert gold_rows(spark, root) == [(1, "A", 9, "D"), (1, "D", 9, "D"), (2, "A", 5, "W"), (2, "C", 5, "L"), (3, "A", 6, "W"), (3, "B", 6, "L")]
+    by = {(r["layer"], r["matchweek"]): r["n_rows"] for r in counts}
+    assert by == {(layer, w): 1 for layer in ("bronze", "silver", "gold") for w in (5, 6, 9)}
+    # the last match of a week and the last of a season move away
+    run_documents(spark, root, [document(2, 1, "A", "C", season="2026/27", day=3), document(3, 9, day=3)], "3")
+    assert silver_places(spark, root) == [(1, "2025/26", 9), (2, "2026/27", 1), (3, "2025/26", 9)]
+    assert sorted(p for p in changes.partition_folders(spark, f"{root}/silver", sinks.PARTITIONS)) == [("2025/26", "9"), ("2026/27", "1")]
+    assert ("C", "2025/26") not in changes.partition_folders(spark, f"{root}/gold", ("club", "season"))
+    masters = jobs.read_masters(spark, root)
+    assert sorted(r["match_id"] for r in masters["silver"].collect()) == [1, 2, 3]
+    assert sorted((r["match_id"], r["club"]) for r in masters["gold"].collect()) == [(1, "A"), (1, "D"), (2, "A"), (2, "C"), (3, "A"), (3, "B")]
+
+
+def test_changes_equal_a_full_rebuild_and_touch_few_partitions(spark, tmp_path):
+    step, whole = str(tmp_path / "step"), str(tmp_path / "whole")
+    first = [document(i, 1 + i % 9, "ABCD"[i % 4], "EFGH"[i % 3], i % 3) for i in range(60)]
+    second = [document(i, 1 + i % 5, "ABCD"[i % 3], "EFGH"[i % 4], i % 2, day=2) for i in (3, 17, 18, 61)]
+    run_documents(spark, step, first, "1")
+    before = {p: {f.name for f in p.iterdir()} for p in (tmp_path / "step/silver").glob("season=*/matchweek=*")}
+    run_documents(spark, step, second, "2")
+    changed = {p.name for p, files in before.items() if {f.name for f in p.iterdir()} != files}
+    assert changed == {f"matchweek={w}" for i in (3, 17, 18, 61) for w in (1 + i % 9, 1 + i % 5)} - {"matchweek=8"} | {"matchweek=9"}
+    jobs.land_documents(spark.createDataFrame(first, LANDED), whole, "1")
+    run_documents(spark, whole, second, "2")
+    for layer in ("silver", "gold"):
+        columns = [c for c in spark.read.parquet(f"{whole}/{layer}").columns if c not in (*LINEAGE, "stats")]
+        rows = [spark.read.parquet(f"{root}/{layer}").select(*columns, F.to_json("stats").alias("stats")) for root in (step, whole)]
+        assert rows[0].exceptAll(rows[1]).count() == rows[1].exceptAll(rows[0]).count() == 0
+        mine, all_at_once = (jobs.read_masters(spark, root)[layer].select("match_id", "season").collect() for root in (step, whole))
+        assert sorted(mine) == sorted(all_at_once)
+    # nothing landed: nothing is written
+    folders = changes.published(spark, f"{step}/masters")
+    run_documents(spark, step, None, "3")
+    assert changes.published(spark, f"{step}/masters") == folders
+
+
+def test_older_landing_does_not_replace_a_newer_one(spark, tmp_path):
+    root = str(tmp_path)
+    jobs.land_documents(spark.createDataFrame([document(1, 5)], LANDED), root, "1")
+    jobs.land_documents(spark.createDataFrame([document(1, 9, score=3, day=2)], LANDED), root, "2")
+    for stamp, weeks in (("3", [9]), ("4", [5])):
+        jobs.run_medallion(spark, root, None, ["2025/26"], weeks, skip_ingest=True, all_teams=True, stamp=stamp)
+    assert silver_places(spark, root) == [(1, "2025/26", 9)]
+
+
+@pytest.mark.parametrize("step", ["rewrite_partitions", "consume"])
+def test_killed_run_leaves_nothing_behind(spark, tmp_path, monkeypatch, step):
+    root = str(tmp_path)
+    run_documents(spark, root, [document(1, 5), document(2, 5)], "1")
+
+    def killed(*_, **__):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(changes, step, killed)
+        with pytest.raises(RuntimeError):
+            run_documents(spark, root, [document(1, 9, day=2)], "2")
+    # the match moves on before the next run
+    run_documents(spark, root, [document(1, 12, day=3)], "3")
+    assert silver_places(spark, root) == [(1, "2025/26", 12), (2, "2025/26", 5)]
+    assert {r[:3] for r in gold_rows(spark, root)} == {(1, "A", 12), (1, "B", 12), (2, "A", 5), (2, "B", 5)}
+
+
+def test_masters_become_visible_together(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    run_documents(spark, root, [document(1, 5)], "1")
+    old = changes.published(spark, f"{root}/masters")
+    write, calls = sinks.write_snapshot, []
+
+    def second_fails(df, path, stamp=None):
+        if path.endswith("gold_master"):
+            calls.append(path)
+            raise RuntimeError("killed")
+        return write(df, path, stamp)
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "write_snapshot", second_fails)
+        with pytest.raises(RuntimeError):
+            run_documents(spark, root, [document(2, 6, day=2)], "2")
+    assert calls and changes.published(spark, f"{root}/masters") == old
+    assert [r["match_id"] for r in jobs.read_masters(spark, root)["silver"].collect()] == [1]
+    run_documents(spark, root, None, "3")
+    assert sorted(r["match_id"] for r in jobs.read_masters(spark, root)["silver"].collect()) == [1, 2]
+    assert {r["match_id"] for r in jobs.read_masters(spark, root)["gold"].collect()} == {1, 2}
+    with pytest.raises(FileExistsError):
+        changes.publish(spark, f"{root}/masters", "3", {})
+
+
+def test_alias_table_of_a_run(spark, tmp_path):
+    root = str(tmp_path)
+    clubs = spark.createDataFrame([("A", "Club A"), ("Aa", "Club A")], "alias string, club string")
+    run_documents(spark, root, [document(1, 5), document(2, 6, "C", "Aa")], "1", alias_table=clubs)
+    assert gold_rows(spark, root) == [(1, "Club A", 5, "W"), (2, "Club A", 6, "L")]
+    # another table makes Gold anew
+    more = clubs.union(spark.createDataFrame([("B", "Club B")], clubs.schema))
+    run_documents(spark, root, None, "2", alias_table=more)
+    assert gold_rows(spark, root) == [(1, "Club A", 5, "W"), (1, "Club B", 5, "L"), (2, "Club A", 6, "L")]
+
+
+def test_rows_without_season_or_week(spark, tmp_path):
+    root = str(tmp_path)
+    run_documents(spark, root, [document(1, None), document(2, 5, season=None)], "1")
+    run_documents(spark, root, [document(1, 3, day=2), document(2, None, day=2)], "2")
+    assert silver_places(spark, root) == [(1, "2025/26", 3), (2, "2025/26", None)]

@@ -6,7 +6,9 @@ steps lies a Parquet layer, so a lost executor only repeats tasks of one step.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,8 +24,8 @@ from touchline.operators.masters import gold_master, lineage_of, silver_master,
 from touchline.operators.silver import to_long, to_wide
 from touchline.operators.state import match_states, skip_played, upsert_state
 from touchline.session import configure
-from touchline.sources import sinks
-from touchline.sources.lake import LATEST_ORDER, accepted, read_layer, rejects
+from touchline.sources import changes, sinks
+from touchline.sources.lake import LATEST_ORDER, accepted, read_folders, read_layer, rejects
 from touchline.sources.pages import with_elements
 from touchline.sources.seasons import work_list
 
@@ -168,19 +170,24 @@ def run_medallion(
     documents: DataFrame | None = None,
     csv_export: bool = False,
     all_teams: bool = False,
+    alias_table: DataFrame | None = None,
 ) -> DataFrame:
-    """M8: all steps over the wanted seasons and weeks, masters last.
-
-    Silver has the latest version of every match. Gold belongs to a club, the
-    first of its ``aliases``, and a run replaces that club's seasons as a whole;
-    with ``all_teams`` every match has a row for each side, under the name of
-    its team. Both have all statistics unless ``names`` picks some.
+    """M8: all steps, each over what changed since it last ran, masters last.
+
+    ``seasons`` and ``matchweeks`` choose what is captured, and which landed
+    partitions of Bronze go to Silver. Silver has one row per match, its latest
+    version, where that version stands: a match that was moved to another week or
+    season leaves its old partition. Gold belongs to a club, the first of its
+    ``aliases``, and follows all changes of Silver since that club's last run; with
+    ``all_teams`` every match has a row for each side, under the name of its team, or
+    of the club that ``alias_table`` (alias, club) names, of whose clubs alone Gold
+    then has rows. Other names or aliases than in the club's last run make its Gold
+    anew. Gold has all statistics unless ``names`` picks some.
 
     ``documents`` (as ``read_documents`` gives them) stand in for pages; what of
     them has no match id goes to ``rejects``, and statistics named like a fixed
-    column go to ``reserved_stats``. A run without new matches is a
-    normal outcome: Silver and Gold still follow from the Bronze layer. Returns
-    the number of matches per layer, season and matchweek.
+    column go to ``reserved_stats``. A run without new matches is a normal outcome and
+    writes nothing new. Returns the number of matches per layer, season and matchweek.
     """
     configure(spark)
     stamp = stamp or sinks.run_stamp()
@@ -188,31 +195,202 @@ def run_medallion(
         land_documents(documents, root, stamp)
     elif not skip_ingest:
         ingest(spark, root, pages, seasons, matchweeks, stamp=stamp, season_table=season_table)
-    bronze = read_layer(spark, f"{root}/bronze", seasons, matchweeks, BRONZE_TABLE)
-    latest = keep_last(accepted(bronze), ["match_id"], LATEST_ORDER)
-    sinks.write_layer(bronze_to_silver(latest), f"{root}/silver")
-    reserved_stats(clean_documents(latest)).write.mode("error").parquet(f"{root}/reserved_stats/run_id={stamp}")
+    update_silver(spark, root, seasons, matchweeks, stamp)
+    gold_of = partial(_gold_rows, aliases=aliases, names=names, all_teams=all_teams, alias_table=alias_table)
+    club = None if all_teams else aliases[0]
+    spellings = None if alias_table is None else alias_table.agg(F.bit_xor(F.xxhash64("alias", "club"))).first()[0]
+    options = json.dumps([list(aliases), None if names is None else list(names), all_teams, spellings])
+    update_gold(spark, root, gold_of, club, options, stamp)
+    folders = update_masters(spark, root, _gold_schema(spark, gold_of), stamp)
+    if csv_export:
+        for layer, folder in folders.items():
+            sinks.write_csv(sinks.csv_columns(spark.read.parquet(folder)), f"{root}/export/run_id={stamp}/{layer}_master")
+    return medallion_counts(spark, root, seasons, matchweeks, club)
+
 
-    silver = read_layer(spark, f"{root}/silver", seasons, schema=SILVER_TABLE)
+def _gold_rows(
+    silver: DataFrame, aliases: Sequence[str], names: Sequence[str] | None, all_teams: bool, alias_table: DataFrame | None
+) -> DataFrame:
+    """Gold rows, with their club, of Silver that has one row per match."""
     if all_teams:
-        gold = silver_to_gold_all(silver, names, lineage=LATEST_ORDER).withColumn("club", F.col("team"))
+        gold = silver_to_gold_all(silver, names, alias_table, lineage=LATEST_ORDER)
+        return gold.withColumn("club", F.col("team"))
+    gold = silver_to_gold(silver, aliases, names, unique=False, lineage=LATEST_ORDER)
+    return gold.withColumn("club", F.lit(aliases[0]))
+
+
+def _gold_schema(spark: SparkSession, gold_of: Callable[[DataFrame], DataFrame]) -> str:
+    fields = gold_of(spark.createDataFrame([], SILVER_TABLE)).schema
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+
+_SILVER_PLACES = "match_id bigint, season string, matchweek int"
+_GOLD_PLACES = "match_id bigint, club string, season string"
+_BY_CLUB = ("club", "season")
+
+
+def update_silver(
+    spark: SparkSession, root: str, seasons: Sequence[str] | None, matchweeks: Sequence[int] | None, stamp: str
+) -> bool:
+    """M1 from changes only: landed partitions that Silver has not seen yet.
+
+    Reads these, and of Silver the partitions in which one of their matches stands or
+    will stand, which it writes anew. False when nothing landed.
+    """
+    bronze, silver, places = f"{root}/bronze", f"{root}/silver", f"{root}/places/silver"
+    done = set(sinks.complete_snapshots(spark, bronze))
+    seen, _ = changes.consumed(spark, root, "silver")
+    weeks = None if matchweeks is None else {str(w) for w in matchweeks}
+    new = {
+        "/".join(map(str, place)): folder
+        for place, folder in changes.partition_folders(spark, bronze, ("run_id", *sinks.PARTITIONS)).items()
+        if f"run_id={place[0]}" in done and "/".join(map(str, place)) not in seen
+        and (seasons is None or place[1] in seasons) and (weeks is None or place[2] in weeks)
+    }
+    if not new:
+        return False
+    docs = read_folders(spark, bronze, new.values(), BRONZE_TABLE)
+    latest = keep_last(accepted(docs), ["match_id"], LATEST_ORDER)
+    reserved_stats(clean_documents(latest)).write.mode("error").parquet(f"{root}/reserved_stats/run_id={stamp}")
+    delta = f"{root}/delta/silver/run_id={stamp}"
+    bronze_to_silver(latest).write.mode("error").parquet(delta)
+    fresh = spark.read.schema(SILVER_TABLE).parquet(delta)
+
+    ids = fresh.select("match_id")
+    known = changes.partition_folders(spark, silver, sinks.PARTITIONS)
+    first = not sinks.complete_snapshots(spark, places)
+    old = set(known) if first else changes.places_in(
+        changes.read_places(spark, places, _SILVER_PLACES).join(ids, "match_id", "left_semi"), sinks.PARTITIONS
+    )
+    touched = old | changes.places_in(fresh, sinks.PARTITIONS)
+    changes.write_places(fresh.select(*_names(_SILVER_PLACES)), places, stamp)
+    current = changes.read_partitions(spark, silver, SILVER_TABLE, [known[p] for p in touched if p in known])
+    rows = changes.merged(current, fresh, LATEST_ORDER)
+    # which partitions stay filled follows from narrow columns of the same rows
+    filled = changes.places_in(rows, sinks.PARTITIONS)
+    changes.rewrite_partitions(rows, silver, sinks.PARTITIONS, touched, filled)
+    changes.consume(spark, root, "silver", new, "", stamp)
+    return True
+
+
+def _names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
+
+
+def update_gold(
+    spark: SparkSession, root: str, gold_of: Callable[[DataFrame], DataFrame], club: str | None, options: str, stamp: str
+) -> bool:
+    """M2 from changes only: matches that Silver changed since this club's last run
+    (``club`` None: all clubs in one). Reads the partitions of Silver these matches stand
+    in, and of Gold those they stood in or will stand in. False when nothing changed."""
+    silver, gold, places = f"{root}/silver", f"{root}/gold", f"{root}/places/gold"
+    consumer = "gold" if club is None else f"gold of {club}"
+    feed = set(sinks.complete_snapshots(spark, f"{root}/places/silver"))
+    seen, before = changes.consumed(spark, root, consumer)
+    anew = before != options
+    runs = feed if anew else feed - seen
+    if not runs:
+        return False
+    known = changes.partition_folders(spark, silver, sinks.PARTITIONS)
+    if anew:
+        ids, source = None, changes.read_partitions(spark, silver, SILVER_TABLE, known.values())
     else:
-        gold = silver_to_gold(silver, aliases, names, lineage=LATEST_ORDER).withColumn("club", F.lit(aliases[0]))
-    sinks.write_layer(gold, f"{root}/gold", ("club", "season"))
-
-    whole = read_layer(spark, f"{root}/silver", schema=SILVER_TABLE)
-    every = spark.read.schema(gold.schema).parquet(f"{root}/gold")
-    silver_rows, gold_rows = global_masters(whole, every)
-    silver_folder = sinks.write_snapshot(silver_rows, f"{root}/silver_master", stamp)
-    gold_folder = sinks.write_snapshot(gold_rows, f"{root}/gold_master", stamp)
-    if csv_export:
-        for layer, folder in (("silver", silver_folder), ("gold", gold_folder)):
-            sinks.write_csv(sinks.csv_columns(spark.read.parquet(folder)), f"{root}/export/run_id={stamp}/{layer}_master")
-    keys = ["match_id", "season", "matchweek"]
-    layers = {"bronze": bronze, "silver": silver, "gold": gold}
-    if matchweeks is not None:
-        layers = {n: df.where(F.col("matchweek").isin(*matchweeks)) for n, df in layers.items()}
-    counted = [layer_counts(df.select(keys).distinct()).withColumn("layer", F.lit(n)) for n, df in layers.items()]
+        ids = changes.read_places(spark, f"{root}/places/silver", _SILVER_PLACES, runs).select("match_id").distinct()
+        at = changes.places_in(
+            changes.read_places(spark, f"{root}/places/silver", _SILVER_PLACES).join(ids, "match_id", "left_semi"), sinks.PARTITIONS
+        )
+        source = changes.read_partitions(spark, silver, SILVER_TABLE, [known[p] for p in at if p in known])
+        source = source.join(ids, "match_id", "left_semi")
+    made = gold_of(source)
+    schema = _gold_schema(spark, gold_of)
+    delta = f"{root}/delta/gold/run_id={stamp}"
+    made.write.mode("error").parquet(delta)
+    fresh = spark.read.schema(schema).parquet(delta)
+
+    stood = changes.read_places(spark, places, _GOLD_PLACES)
+    stood = stood if club is None else stood.where(F.col("club") == club)
+    if ids is not None:
+        stood = stood.join(ids, "match_id", "left_semi")
+    own = changes.partition_folders(spark, gold, _BY_CLUB)
+    if anew:
+        old = {p for p in own if club is None or p[0] == club}
+    else:
+        old = changes.places_in(stood, _BY_CLUB)
+    touched = old | changes.places_in(fresh, _BY_CLUB)
+    changes.write_places(fresh.select(*_names(_GOLD_PLACES)).unionByName(stood).distinct(), places, stamp)
+    rows = fresh
+    if ids is not None:
+        current = changes.read_partitions(spark, gold, schema, [own[p] for p in touched if p in own])
+        rows = rows.unionByName(current.join(ids, "match_id", "left_anti"))
+    filled = changes.places_in(rows, _BY_CLUB)
+    changes.rewrite_partitions(rows, gold, _BY_CLUB, touched, filled)
+    changes.consume(spark, root, consumer, runs if not anew else feed, options, stamp)
+    return True
+
+
+def update_masters(spark: SparkSession, root: str, gold_schema: str, stamp: str) -> dict[str, str]:
+    """M3 from changes: both masters as one published version; returns their folders.
+
+    A master is its last version without the changed matches, and their rows of now.
+    One of which nothing changed stays as it is in the new version.
+    """
+    before = changes.published(spark, f"{root}/masters")
+    seen, _ = changes.consumed(spark, root, "masters")
+    folders, sources = dict(before or {}), set()
+    for layer, schema, columns, table in (
+        ("silver", _SILVER_PLACES, sinks.PARTITIONS, SILVER_TABLE), ("gold", _GOLD_PLACES, _BY_CLUB, gold_schema),
+    ):
+        places = f"{root}/places/{layer}"
+        runs = {r for r in sinks.complete_snapshots(spark, places) if f"{layer}/{r}" not in seen}
+        last = None if before is None else spark.read.parquet(before[layer])
+        if last is not None and not runs:
+            continue
+        known = changes.partition_folders(spark, f"{root}/{layer}", columns)
+        if last is None or set(last.columns) != set(spark.createDataFrame([], table).columns):
+            rows = changes.read_partitions(spark, f"{root}/{layer}", table, known.values())
+        else:
+            ids = changes.read_places(spark, places, schema, runs).select("match_id").distinct()
+            every = changes.read_places(spark, places, schema).join(ids, "match_id", "left_semi")
+            at = changes.places_in(every, columns)
+            now = changes.read_partitions(spark, f"{root}/{layer}", table, [known[p] for p in at if p in known])
+            rows = last.join(ids, "match_id", "left_anti").unionByName(now.join(ids, "match_id", "left_semi"))
+        # every layer has one row per match, or per match and team, already
+        rows = sort_master(rows) if layer == "silver" else gold_master(rows, LATEST_ORDER)
+        folders[layer] = sinks.write_snapshot(rows, f"{root}/{layer}_master", stamp)
+        sources |= {f"{layer}/{r}" for r in runs}
+    if sources or before is None:
+        changes.publish(spark, f"{root}/masters", stamp, folders)
+        changes.consume(spark, root, "masters", sources, "", stamp)
+    return folders
+
+
+def read_masters(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The masters of the newest published version, which belong together."""
+    return {layer: spark.read.parquet(folder) for layer, folder in (changes.published(spark, f"{root}/masters") or {}).items()}
+
+
+def medallion_counts(
+    spark: SparkSession, root: str, seasons: Sequence[str] | None, matchweeks: Sequence[int] | None, club: str | None
+) -> DataFrame:
+    """A5: matches per layer, season and matchweek; in Bronze where their latest version
+    stands. Reads ids, partitions and lineage only."""
+    keys = ["match_id", *sinks.PARTITIONS]
+    bronze = read_layer(spark, f"{root}/bronze", schema=BRONZE_TABLE).where("match_id is not null")
+    silver = changes.partition_folders(spark, f"{root}/silver", sinks.PARTITIONS).values()
+    gold = [f for p, f in changes.partition_folders(spark, f"{root}/gold", _BY_CLUB).items() if club is None or p[0] == club]
+    gold_rows = changes.read_partitions(spark, f"{root}/gold", "match_id bigint, matchweek int, club string, season string", gold)
+    layers = {
+        "bronze": keep_last(bronze.select(*keys, *LATEST_ORDER), ["match_id"], LATEST_ORDER),
+        "silver": changes.read_partitions(spark, f"{root}/silver", _SILVER_PLACES, silver),
+        "gold": gold_rows.select(*keys).distinct(),
+    }
+    counted = []
+    for name, rows in layers.items():
+        if seasons is not None:
+            rows = rows.where(F.col("season").isin(*seasons))
+        if matchweeks is not None:
+            rows = rows.where(F.col("matchweek").isin(*matchweeks))
+        counted.append(layer_counts(rows.select(*keys)).withColumn("layer", F.lit(name)))
     return union_tables(counted)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
@@ -279,6 +279,12 @@ def read_layer(
     return _with_source(raw, *[F.col(c) for c in raw.columns])
 
 
+def read_folders(spark: SparkSession, path: str, folders: Iterable[str], schema: str) -> DataFrame:
+    """Some partitions of a Parquet layer, with source order; at least one."""
+    raw = spark.read.schema(schema).option("basePath", path).parquet(*sorted(folders))
+    return _with_source(raw, *[F.col(c) for c in raw.columns])
+
+
 def try_read_layer(spark: SparkSession, path: str, **kw) -> DataFrame | None:
     """A layer, or nothing when it does not exist or has no files."""
     try:

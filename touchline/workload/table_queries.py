@@ -789,6 +789,31 @@ def m8_documents(spark, sf):
     return rows.unionByName(left.withColumn("season", F.lit("reject")), allowMissingColumns=True)
 
 
+_MOVED = """now AS (SELECT * REPLACE (CASE WHEN match_id % 7 = 0 THEN CAST(matchweek % 38 + 1 AS INTEGER) ELSE matchweek END AS matchweek)
+  FROM matches), per_layer AS (SELECT season, matchweek, count(*) AS n FROM now GROUP BY ALL)"""
+
+
+@query("m8_moved_matches", o.with_(o.MATCHES, _MOVED) + """SELECT 'silver' AS layer, match_id, season, matchweek, CAST(NULL AS VARCHAR) AS team, 1 AS n FROM now
+  UNION ALL SELECT 'gold', match_id, season, matchweek, home_team, 1 FROM now
+  UNION ALL SELECT 'gold', match_id, season, matchweek, away_team, 1 FROM now
+  UNION ALL SELECT 'count of ' || l.layer, NULL, season, matchweek, NULL, CAST(n AS INTEGER)
+  FROM per_layer, (VALUES ('bronze'), ('silver'), ('gold')) AS l(layer)""")
+def m8_moved(spark, sf):
+    """A second run over the matches that moved to the week after: every match
+    stands once in Silver, once per side in Gold, and once in the counts."""
+    root = scratch_dir(spark, "m8_moved")
+    docs = full_documents(spark, sf).withColumn(lake.FILE, F.lit("landing")).withColumn(schemas.CORRUPT, F.lit(None).cast("string"))
+    moved = docs.where("match_id % 7 = 0").withColumn("matchweek", F.col("matchweek") % schemas.MATCHWEEKS_PER_SEASON + 1)
+    for stamp, landing in (("20250101_000000_000000", docs), ("20250102_000000_000000", moved)):
+        counts = jobs.run_medallion(spark, root, None, None, names=(), documents=landing, all_teams=True, stamp=stamp)
+    one, place = F.lit(1).alias("n"), ["match_id", "season", "matchweek"]
+    return masters.union_tables([
+        spark.read.schema(jobs.SILVER_TABLE).parquet(f"{root}/silver").select(F.lit("silver").alias("layer"), *place, F.lit(None).cast("string").alias("team"), one),
+        spark.read.parquet(f"{root}/gold").select(F.lit("gold").alias("layer"), *place, "team", one),
+        counts.select(F.concat(F.lit("count of "), "layer").alias("layer"), "season", "matchweek", F.col("n_rows").cast("int").alias("n")),
+    ])
+
+
 @query("m9_ingest_season", o.with_(o.MATCHES) + f"""SELECT match_id, season, matchweek, home_team, home_score, {_VISITED} FROM (
   SELECT *, row_number() OVER (PARTITION BY season, matchweek ORDER BY match_id) AS rn FROM matches) WHERE rn <= 10""")
 def m9(spark, sf):
