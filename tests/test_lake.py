@@ -1,11 +1,16 @@
 """Sources and sinks on a folder of the test."""
 
+import bz2
+import gzip
 import json
+import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from touchline.operators.dedupe import keep_last
-from touchline.sources import lake, sinks
+from touchline.sources import lake, objects, sinks
+from touchline.sources.files import inflate_error, unreadable_files
 from touchline.sources.seasons import work_list
 
 
@@ -126,3 +131,58 @@ def test_keep_last_prunes_before_the_shuffle(spark):
     plan = last._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert sorted(last.collect(), key=repr) == sorted([(1, 2), (None, 3)], key=repr)
+
+
+def test_one_truncated_file_among_a_hundred(spark, tmp_path):
+    for i in range(100):
+        packed = gzip.compress(json.dumps({"match_id": i, "season": "2025/26", "matchweek": 1, "url": "x" * 50 * i}).encode())
+        (tmp_path / f"{i:03d}.json.gz").write_bytes(packed[:-20] if i == 42 else packed)
+    with pytest.raises(Exception):
+        lake.read_documents(spark, str(tmp_path)).collect()
+    docs = lake.read_documents(spark, str(tmp_path), unreadable=unreadable_files(spark, str(tmp_path)))
+    assert {r["match_id"] for r in lake.accepted(docs).collect()} == set(range(100)) - {42}
+    left = lake.rejects(docs).collect()
+    assert [r["source_file"].rsplit("/", 1)[1] for r in left] == ["042.json.gz"] and "ends too early" in left[0]["_corrupt_record"]
+
+
+def test_inflate_error():
+    text = b"some text " * 300_000
+    whole = {"a.gz": gzip.compress(text) + gzip.compress(b"more") + b"\0" * 8, "a.bz2": bz2.compress(text) + bz2.compress(b"more"), "a.deflate": zlib.compress(text)}
+    for path, content in whole.items():
+        assert inflate_error(path, content) is None
+        assert inflate_error(path, content[: len(content) // 3]) is not None
+        assert inflate_error(path, b"no such thing") is not None
+    broken = bytearray(whole["a.gz"])
+    broken[40] ^= 255
+    assert inflate_error("a.gz", bytes(broken)) is not None
+
+
+def test_csv_rejects_are_whole_records(spark, tmp_path):
+    put(tmp_path / "a.csv", 'a,b\n1,2\n1,2,,4\n1,2,\n3\n"x,""y",2\n"x,""y",2,"p,q\nr"\n,,,\n5,6\n')
+    put(tmp_path / "b.csv", "a,b,c,d\n1,2,3,4\n1,2,3\n1,2,3,4,\n")
+    rows = lake.read_csv_table(spark, str(tmp_path))
+    assert {(r["a"], r["b"], r["c"], r["d"]) for r in rows.collect()} == {
+        ("1", "2", None, None), ("3", None, None, None), ('x,"y', "2", None, None), ("5", "6", None, None), ("1", "2", "3", "4"), ("1", "2", "3", None),
+    }
+    fields = sorted(r["fields"] for r in lake.csv_rejects(spark, str(tmp_path)).collect())
+    assert fields == sorted([["1", "2", "", "4"], ["1", "2", ""], ['x,"y', "2", "p,q\nr"], ["", "", "", ""], ["1", "2", "3", "4", ""]])
+
+
+def test_objects_lie_at_their_paths(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    docs = spark.createDataFrame([(i, "2025/26", 1 + i % 2, "é" if i else None) for i in range(5)], "match_id long, season string, matchweek int, name string")
+    path = lake.layer_path_column("", "bronze", F.col("match_id"), F.col("season"), F.col("matchweek"))
+    objects.write_objects(docs.repartition(3), root, path)
+    objects.write_objects(docs.where("match_id = 3").withColumn("name", F.lit("later")), root, path)
+    objects.write_arrays(docs, root, lake.bundle_path_column("bronze", F.col("season"), F.col("matchweek"), "t"), F.col("match_id"))
+    one = json.loads((tmp_path / "lake/bronze/2025-26/matchweek_02/match_3.json").read_text())
+    assert one == {"match_id": 3, "season": "2025/26", "matchweek": 2, "name": "later"}
+    assert json.loads((tmp_path / "lake/bronze/2025-26/matchweek_01/match_0.json").read_text())["name"] is None
+    weeks = {p.name: [d["match_id"] for d in json.loads(p.read_text())] for p in (tmp_path / "lake/bronze/2025-26/aggregates").iterdir()}
+    assert weeks == {"mw01_t.json": [0, 2, 4], "mw02_t.json": [1, 3]}
+    assert lake.scan_layer(spark, root, "bronze", "2025/26").count() == 7 and not (tmp_path / "lake" / objects.STAGING).exists()
+    # a task that fails leaves nothing
+    bad = docs.withColumn("at", F.when(F.col("match_id") == 4, "../../up.json").otherwise(F.concat(F.lit("new/"), "match_id")))
+    with pytest.raises(Exception):
+        objects.write_objects(bad.repartition(4, "match_id"), root, F.col("at"))
+    assert not (tmp_path / "lake/new").exists() and not (tmp_path / "lake" / objects.STAGING).exists()

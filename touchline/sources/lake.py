@@ -55,6 +55,14 @@ def layer_path_column(root: str, layer: str, match_id: Column, season: Column, m
     )
 
 
+def bundle_path_column(layer: str, season: Column, matchweek: Column, stamp: str, ext: str = "json") -> Column:
+    """K1: below the root, where the bundle of each matchweek lives."""
+    return F.concat(
+        F.lit(f"{layer if layer in schemas.LAYERS else schemas.LAYERS[0]}/"), F.replace(season, F.lit("/"), F.lit("-")),
+        F.lit("/aggregates/mw"), F.format_string("%02d", matchweek), F.lit(f"_{stamp}.{ext}"),
+    )
+
+
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; none when it does not exist."""
     jvm = spark.sparkContext._jvm
@@ -127,28 +135,40 @@ def _listing(spark: SparkSession, paths: list[str], ext: str) -> DataFrame:
     return files.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
-def read_documents(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True) -> DataFrame:
+def read_documents(
+    spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True, unreadable: DataFrame | None = None
+) -> DataFrame:
     """Match documents with the declared schema.
 
     With ``multi_line`` a file holds one document or an array of documents, in
     any layout; without it, one document per line, and large files are split.
     A member of the wrong type is NULL, the rest of the document stays. Rows
     without match id are rejects (``rejects``, ``accepted``).
+
+    A truncated or unreadable file ends the job, unless ``unreadable`` names it (a
+    table as ``files.unreadable_files`` gives it): of these files no document is
+    accepted, each is one reject with its reason, and all others are read.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = (
+    reader = (
         spark.read.schema(schemas.BRONZE_JSON)
         .option("multiLine", str(multi_line).lower())
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", schemas.CORRUPT)
         .option("recursiveFileLookup", "true")
-        .json(paths)
     )
+    # what a damaged file still gives is read and then left out as a whole
+    raw = (reader if unreadable is None else reader.option("ignoreCorruptFiles", "true")).json(paths)
     info = F.from_json(F.when(is_object(F.col("match_info")), F.col("match_info")), schemas.STAT_MAP)
     kept = [F.col(c) for c in ("match_id", "url", "season", "matchweek", "scraped_at")]
     rest = [F.col(c) for c in ("statistics", "detailed_statistics", "events", "lineups", schemas.CORRUPT)]
     docs = _with_source(raw, *kept, F.col("match_info").alias("_raw_info"), info.alias("match_info"), *rest)
-    return docs.withColumn("match_info", _whole_scores(F.col("_raw_info"), F.col("match_info"))).drop("_raw_info")
+    docs = docs.withColumn("match_info", _whole_scores(F.col("_raw_info"), F.col("match_info"))).drop("_raw_info")
+    if unreadable is None:
+        return docs
+    reason = F.concat(F.lit("unreadable file: "), "reason").alias(schemas.CORRUPT)
+    bad = unreadable.select(F.col("source_file").alias(FILE), reason)
+    return docs.join(bad, FILE, "left_anti").select(docs.columns).unionByName(bad, allowMissingColumns=True)
 
 
 def _whole_scores(raw: Column, info: Column) -> Column:
@@ -189,20 +209,36 @@ def read_csv_table(
 
 
 def csv_rejects(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True) -> DataFrame:
-    """Rows with more fields than their header, with their file."""
+    """Rows with more fields than their header, all of their fields, and their file."""
     rows, _ = _csv_rows(spark, paths, multi_line)
-    return rows.where(_overlong()).select(FILE, F.col("_values").alias("fields"))
-
-
-def _overlong() -> Column:
-    width = F.size("_names")
-    return F.exists(F.slice("_values", width + 1, F.size("_values")), lambda v: v.isNotNull())
+    fields = F.when(F.col(schemas.CORRUPT).isNull(), F.col("_values")).otherwise(_record_fields(F.col(schemas.CORRUPT)))
+    return rows.where(_overlong()).select(FILE, F.transform(fields, lambda f: F.coalesce(f, F.lit(""))).alias("fields"))
 
 
 def _field(i: Column) -> Column:
     return F.col("record")[F.concat(F.lit("_c"), i.cast("string"))]
 
 
+def _record_fields(record: Column) -> Column:
+    """All fields of a CSV record: quoted ones with doubled quotes, or up to a comma."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    return F.transform(
+        found,
+        lambda f: F.when(F.startswith(f, F.lit('"')), F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f),
+    )
+
+
+def _overlong() -> Column:
+    """True for a record with more fields than its header, empty ones included.
+
+    The reader has as many columns as the widest header. A record of just so many
+    fields comes without its text; of any other the text is there and has the last
+    word, looked into only where it holds enough commas."""
+    text, width = F.col(schemas.CORRUPT), F.size("_names")
+    commas = F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
+    return F.when(text.isNull(), F.size("_values") > width).otherwise((commas >= width) & (F.size(_record_fields(text)) > width))
+
+
 def _csv_rows(spark: SparkSession, paths: str | Sequence[str], multi_line: bool) -> tuple[DataFrame, list[str]]:
     """The rows of CSV files as ``_values`` beside the ``_names`` of their file,
     and all names.
@@ -241,9 +277,12 @@ def _csv_rows(spark: SparkSession, paths: str | Sequence[str], multi_line: bool)
     if not names:
         raise ValueError("no CSV table found")
     width = headers.agg(F.max(F.size("_names"))).first()[0]
-    fields = [f"_c{i}" for i in range(width + 1)]
-    raw = reader(True).schema(", ".join(f"{f} string" for f in fields)).csv(paths)
-    rows = _with_source(raw, F.array(*fields).alias("_values"))
+    fields = [f"_c{i}" for i in range(width)]
+    raw = (
+        reader(True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", schemas.CORRUPT)
+        .schema(", ".join(f"{f} string" for f in [*fields, schemas.CORRUPT])).csv(paths)
+    )
+    rows = _with_source(raw, F.array(*fields).alias("_values"), F.col(schemas.CORRUPT))
     return rows.join(headers, FILE), names
 
 

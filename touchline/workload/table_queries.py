@@ -13,7 +13,8 @@ from touchline.operators.gold import all_perspectives, team_alias_match, team_re
 from touchline.operators.silver import stat_pivot, to_long, to_wide
 from touchline.plans import medallion as jobs
 from touchline.session import scratch_dir
-from touchline.sources import lake, seasons, sinks
+from touchline.sources import lake, objects, seasons, sinks
+from touchline.sources.files import unreadable_files
 from touchline.sources.pages import with_elements
 from touchline.workload import oracle as o
 from touchline.workload.registry import query
@@ -130,6 +131,53 @@ def s7(spark, sf):
     return rows[0].unionByName(rows[1])
 
 
+_UNREADABLE = """texts AS (SELECT conv_id % 40 AS part, count(*) AS n FROM conversations GROUP BY 1)"""
+
+
+@query("s4_unreadable_files", f"WITH {_UNREADABLE} " + """SELECT 'document' AS kind, part, n FROM texts WHERE part % 5 <> 0
+  UNION ALL SELECT 'reject', part, 1 FROM texts WHERE part % 5 = 0""")
+def s4_unreadable(spark, sf):
+    """Compressed files of which every fifth is cut: each of these is one reject, and
+    all documents of the others are read."""
+    path = scratch_dir(spark, "s4_unreadable")
+    part = F.col("conv_id") % 40
+    docs = table(spark, sf, "conversations").select(
+        part.alias("match_id"), F.concat(F.lit("p"), part.cast("string")).alias("url"), F.lit(1).alias("matchweek"), "text"
+    )
+    # one file per folder; the number of its folder names it
+    docs.repartition("match_id").withColumn("part", F.col("match_id")).write.partitionBy("part").option("compression", "gzip").json(path)
+    packed = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("part", "content")
+    cut = F.when(F.col("part") % 5 == 0, F.substring("content", 1, (F.length("content") / 2).cast("int"))).otherwise(F.col("content"))
+    files_of = scratch_dir(spark, "s4_cut")
+    objects.put_files(packed.select(F.format_string("%02d.json.gz", F.col("part").cast("int")).alias("path"), cut.alias("content")), files_of)
+    docs = lake.read_documents(spark, files_of, multi_line=False, unreadable=unreadable_files(spark, files_of))
+    number = F.regexp_extract(lake.FILE, r"(\d+)\.json\.gz$", 1).cast("bigint").alias("part")
+    kinds = [("document", lake.accepted(docs)), ("reject", lake.rejects(docs))]
+    counted = [df.groupBy(number).agg(F.count("*").alias("n")).select(F.lit(k).alias("kind"), "part", "n") for k, df in kinds]
+    return counted[0].unionByName(counted[1])
+
+
+@query("s7_csv_rejects", """SELECT CASE WHEN l_linenumber % 3 = 0 THEN 'reject' ELSE 'row' END AS kind, l_orderkey, CAST(l_linenumber AS BIGINT) AS line,
+  CASE WHEN l_linenumber = 3 THEN '3|' || l_returnflag || ',"x"||' WHEN l_linenumber = 6 THEN '6|' || l_returnflag || '|||'
+    ELSE CAST(l_linenumber AS VARCHAR) END AS fields FROM lineitem""")
+def s7_csv(spark, sf):
+    """Records with more fields than their header, of which the surplus ones may be
+    empty, or commas and quotes stand in quoted ones: whole records become rejects."""
+    path = scratch_dir(spark, "s7_csv")
+    n = F.col("l_linenumber")
+    rest = F.when(n == 3, F.concat(F.lit(',"'), "l_returnflag", F.lit(',""x""",,'))).when(n == 6, F.concat(F.lit(","), "l_returnflag", F.lit(",,,")))
+    record = F.concat_ws(",", "l_orderkey", n.cast("string"))
+    lines = table(spark, sf, "lineitem").select(F.concat(record, F.coalesce(rest, F.lit(""))).alias("l_orderkey,line"))
+    # the records as they are: no quoting by the writer
+    lines.write.option("header", "true").option("sep", "\x01").option("quote", "").csv(path)
+    rows = lake.read_csv_table(spark, path, {"l_orderkey": "bigint", "line": "bigint"})
+    rejects = lake.csv_rejects(spark, path)
+    number = lambda i: F.col("fields")[i].cast("bigint")
+    left = rejects.select(F.lit("reject").alias("kind"), number(0).alias("l_orderkey"), number(1).alias("line"),
+                          F.concat_ws("|", F.slice("fields", 2, 99)).alias("fields"))
+    return rows.select(F.lit("row").alias("kind"), "l_orderkey", "line", F.col("line").cast("string").alias("fields")).unionByName(left)
+
+
 @query("s8_rows_to_table", o.SILVER + f"SELECT match_id, {o.val('v_home_rating_grade')} AS grade_value, "
        f"{o.text('v_home_rating_grade')} AS grade_text, {o.val('v_away_shots')} AS shots FROM flat")
 def s8(spark, sf):
@@ -196,6 +244,29 @@ def k1(spark, sf):
     return matches(spark, sf).select("match_id", path.alias("path"))
 
 
+@query("k1_objects", o.with_(o.MATCHES) + """SELECT 'object' AS kind, 'bronze/' || replace(season, '/', '-') || '/matchweek_' || lpad(CAST(matchweek AS VARCHAR), 2, '0') ||
+  '/match_' || CAST(match_id AS VARCHAR) || '.json' AS path, match_id, home_team, 8 AS n_stats FROM matches
+  UNION ALL SELECT 'bundle', 'bronze/' || replace(season, '/', '-') || '/aggregates/mw' || lpad(CAST(matchweek AS VARCHAR), 2, '0') || '_t.json',
+  match_id, home_team, 8 FROM matches""")
+def k1_objects(spark, sf):
+    """One JSON object per match and one JSON array per matchweek, at their paths: the
+    listing has them, and the reader gives their documents."""
+    root = scratch_dir(spark, "k1_objects")
+    docs = full_documents(spark, sf)
+    docs.write.parquet(f"{root}_docs")
+    docs = spark.read.schema(docs.schema).parquet(f"{root}_docs")
+    objects.write_objects(docs, root, lake.layer_path_column("", "bronze", F.col("match_id"), F.col("season"), F.col("matchweek")))
+    objects.write_arrays(docs, root, lake.bundle_path_column("bronze", F.col("season"), F.col("matchweek"), "t"), F.col("match_id"))
+    found = _seasons_of(docs)
+    listed = lake.scan_layer(spark, root, "bronze", found).select(F.col("path").alias(lake.FILE))
+    read = lake.read_documents(spark, [f"{root}/bronze/{lake.season_folder(s)}" for s in found])
+    read = read.join(listed, lake.FILE, "left_semi")
+    below = F.regexp_extract(lake.FILE, "(bronze/.*)$", 1).alias("path")
+    team = F.trim(F.regexp_replace(F.col("match_info")["home_team"], r"\s", "")).alias("home_team")
+    return read.select(F.when(F.contains(lake.FILE, F.lit("/aggregates/")), "bundle").otherwise("object").alias("kind"), below, "match_id", team,
+                       F.size("statistics").alias("n_stats"))
+
+
 @query("k2_write_json", _FIXED_SQL)
 def k2(spark, sf):
     path = scratch_dir(spark, "k2")
