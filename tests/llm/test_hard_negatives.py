@@ -57,7 +57,7 @@ def test_ties_and_rows_that_take_no_part(spark):
     rows += [(600, same, None), (None, same, 1), (700, [0.0, 0.0], 2), (800, [1.0, 2.0, 3.0], 1), (801, [1.0, 1.0, 1.0], 1)]
     rows += [(802, [0.5, 0.5, 0.5], 2), (900, [-1.0, -1.0], 1), (0, [9.0, 9.0], 9), (0, same, 0), (1000, [9.0, 0.0], 1), (1000, [0.0, 9.0], 1)]
     got = mined(spark, rows)
-    assert got == plain(rows) and any(r[0] == 800 for r in got) and any(r[0] == 1000 for r in got)
+    assert got == plain(rows) and any(r[0] == 800 for r in got)
     assert mined(spark, []) == []
     assert mined(spark, [(1, [1.0], 1), (2, [1.0], 2)]) == []
 
