@@ -6,6 +6,9 @@ fields are found with array expressions inside the row of a page.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline import schemas
@@ -318,6 +321,16 @@ def match_events(elements: Column) -> Column:
     return F.struct(let(strip(half_time["visible"]), tx.half_time_score).alias("half_time_score"), *goals, *cards)
 
 
+def newest_captures(pages: DataFrame) -> DataFrame:
+    """The pages of each match and tab that were captured last; those of one
+    time all stay. The times are found without a look at the pages, so superseded
+    pages reach no parser. Pages without a time are the oldest."""
+    keys = ["match_id", "tab", "fetched_at"]
+    last = pages.groupBy(*keys[:2]).agg(F.max("fetched_at").alias("fetched_at")).toDF(*(f"_last_{k}" for k in keys))
+    same = [F.col(k).eqNullSafe(F.col(f"_last_{k}")) for k in keys]
+    return pages.join(last, reduce(and_, same), "left_semi")
+
+
 def extract_tabs(pages: DataFrame) -> DataFrame:
     """X2-X7 per page: each tab fills the part of the document it shows."""
     es, visible = F.col("elements"), F.col("visible_text")

@@ -16,7 +16,7 @@ from touchline import schemas
 from touchline.operators.counts import layer_counts
 from touchline.operators.dedupe import keep_last, top_by_id
 from touchline.operators.documents import add_lineage, clean_documents, flatten_documents, reserved_stats
-from touchline.operators.extract import assemble_documents, extract_match_cards, extract_tabs
+from touchline.operators.extract import assemble_documents, extract_match_cards, extract_tabs, newest_captures
 from touchline.operators.gold import (
     all_perspectives, gold_columns, team_alias_match, team_filter, team_record,
 )
@@ -113,7 +113,7 @@ def capture_documents(
 
 
 def _capture(pages: DataFrame, work: DataFrame, base_url: str, ignore_null_extra: bool) -> DataFrame:
-    wanted = pages.join(work.select("match_id"), "match_id", "left_semi")
+    wanted = newest_captures(pages.join(work.select("match_id"), "match_id", "left_semi"))
     tabs = extract_tabs(with_elements(wanted.select("match_id", "tab", "fetched_at", "visible_text", "html")))
     docs = assemble_documents(tabs, ignore_null_extra).join(work, "match_id")
     week = F.coalesce(F.col("matchweek"), F.col("page_matchweek"))

@@ -10,7 +10,8 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -57,97 +58,130 @@ _CLASS = re.compile(
 _TAGS = frozenset(["li", "p", "span", "td", "time"])
 
 
-class _Node:
-    """An open element."""
-
-    __slots__ = ("pos", "tag", "attrs", "start", "first", "children", "last_child")
-
-    def __init__(self, pos: int, tag: str, attrs: dict, start: int, first: bool) -> None:
-        self.pos, self.tag, self.attrs, self.start, self.first = pos, tag, attrs, start, first
-        self.children = 0
-        self.last_child: list | None = None
-
-
-class _Elements(HTMLParser):
-    """Collects the elements of one page with their text and extent."""
+# Markup in a page: a tag with its name and attributes, in which ">" may stand in
+# quotes; a comment; or a declaration. Possessive parts never look back.
+_MARKUP = re.compile(
+    r"""<(?:(/?)([a-zA-Z][^\t\n\r\f />\x00]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)>|!--(?:-?>|.*?(?:--!?>|\Z))|[!?/][^>]*+>)""", re.S
+)
+_ATTRIBUTE = re.compile(r"""((?<=["'\s/])[^\s/>=]++|^[^\s/>=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+))?+""")
+# An attribute value without quotes at the end of a tag, to which a "/" belongs.
+_OPEN_VALUE = re.compile(r"""=\s*[^\s"'][^\s"']*$""")
+_WANTED = ("class", "href", "data-testid")
+_RAW_END = {tag: re.compile(f"</{tag}(?=[\\s/>])", re.I) for tag in ("script", "style")}
+
+
+def _attributes(text: str) -> tuple[str, str, str]:
+    """Values of class, href and data-testid; empty ones where there are none."""
+    found = dict.fromkeys(_WANTED, "")
+    for name, value in _ATTRIBUTE.findall(text):
+        name = name.lower()
+        if name in found:
+            if value[:1] in ("'", '"'):
+                value = value[1:-1]
+            found[name] = unescape(value) if "&" in value else value
+    return found["class"], found["href"], found["data-testid"]
+
+
+class _Elements:
+    """Collects the elements of one page with their text and extent.
+
+    One regular expression finds all markup; only the attributes that selectors ask for
+    are read. An open element is a list of its place, tag, class, href, testid, first
+    chunk of text, whether it is its parent's first child, the number of its children, and
+    the entry of its last child.
+    """
 
     def __init__(self, links: bool = False) -> None:
-        super().__init__(convert_charrefs=True)
         self._links = links
         self.found: list[list] = []
-        self._open: list[_Node] = []
+        self._open: list[list] = []
         self._chunks: list[str] = []
         self._count = 0
         self._hidden = 0
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
+    def read(self, html: str) -> list[list]:
+        at, end, chunks = 0, len(html), self._chunks
+        search = _MARKUP.search
+        while at < end:
+            m = search(html, at)
+            stop = m.start() if m else end
+            if stop > at and not self._hidden:
+                data = html[at:stop]
+                chunks.append(unescape(data) if "&" in data else data)
+            if m is None:
+                break
+            at = m.end()
+            closing, tag, attributes = m.groups()
+            if tag is None:
+                continue
+            tag = tag.lower()
+            if closing:
+                self._end(tag)
+            else:
+                self._start(tag, attributes)
+                if attributes[-1:] == "/" and not _OPEN_VALUE.search(attributes):
+                    self._end(tag)
+                elif tag in _RAW_END:
+                    raw = _RAW_END[tag].search(html, at)
+                    at = raw.start() if raw else end
+        while self._open:
+            self._close()
+        self.found.sort(key=itemgetter(0))
+        return self.found
+
+    def _start(self, tag: str, attributes: str) -> None:
         if self._open:
-            parent = self._open[-1].tag
+            parent = self._open[-1][1]
             if parent in _ENDS_OPEN.get(tag, ()) or (parent == "p" and tag in _BLOCK):
                 self._close()
         if tag == "br" or tag in _BLOCK:
             self._chunks.append("\0")
         first = True
         if self._open:
-            first = self._open[-1].children == 0
-            self._open[-1].children += 1
-            self._open[-1].last_child = None
+            parent = self._open[-1]
+            first = not parent[7]
+            parent[7] += 1
+            parent[8] = None
         if tag in _VOID:
             return
         self._hidden += tag in _HIDDEN
-        self._open.append(_Node(self._count, tag, dict(attrs), len(self._chunks), first))
+        named = _attributes(attributes) if "=" in attributes else ("", "", "")
+        self._open.append([self._count, tag, *named, len(self._chunks), first, 0, None])
         self._count += 1
 
-    def handle_endtag(self, tag: str) -> None:
-        if any(node.tag == tag for node in self._open):
-            while self._close() != tag:
-                pass
-
-    def handle_data(self, data: str) -> None:
-        if not self._hidden:
-            self._chunks.append(data)
+    def _end(self, tag: str) -> None:
+        for node in reversed(self._open):
+            if node[1] == tag:
+                while self._close() != tag:
+                    pass
+                return
 
     def _close(self) -> str:
-        node = self._open.pop()
-        self._hidden -= node.tag in _HIDDEN
-        if node.last_child is not None:
-            node.last_child[_LAST] = True
-        cls, href, testid = (node.attrs.get(k) or "" for k in ("class", "href", "data-testid"))
-        if node.tag in _TAGS or testid or (node.tag == "a" and (self._links or "match/" in href)) or _CLASS.search(cls):
+        pos, tag, cls, href, testid, start, first, _, last_child = self._open.pop()
+        self._hidden -= tag in _HIDDEN
+        if last_child is not None:
+            last_child[_LAST] = True
+        if tag in _TAGS or testid or (tag == "a" and (self._links or "match/" in href)) or (cls and _CLASS.search(cls)):
             # "\0" marks the line breaks of the layout.
-            text = "".join(self._chunks[node.start :])
-            entry = [
-                node.pos,
-                self._count,
-                node.tag,
-                f" {' '.join(cls.split())} ",
-                href,
-                testid,
-                node.first,
-                False,
-                text.replace("\0", ""),
-                "\n".join(s for s in (" ".join(p.split()) for p in text.split("\0")) if s),
-            ]
+            text = "".join(self._chunks[start:])
+            if "\0" in text:
+                visible = "\n".join(s for s in (" ".join(p.split()) for p in text.split("\0")) if s)
+                text = text.replace("\0", "")
+            else:
+                visible = " ".join(text.split())
+            entry = [pos, self._count, tag, f" {' '.join(cls.split())} ", href, testid, first, False, text, visible]
             self.found.append(entry)
             if self._open:
-                self._open[-1].last_child = entry
-        if node.tag in _BLOCK:
+                self._open[-1][8] = entry
+        if tag in _BLOCK:
             self._chunks.append("\0")
-        return node.tag
-
-    def finish(self) -> list[list]:
-        self.close()
-        while self._open:
-            self._close()
-        return sorted(self.found, key=lambda e: e[0])
+        return tag
 
 
 def page_elements(html: str | None, links: bool = False) -> list[list]:
     """Elements of a page in document order, fields as in ``ELEMENT``. ``links``
     keeps all links, not only those to matches."""
-    page = _Elements(links)
-    page.feed(html or "")
-    return page.finish()
+    return _Elements(links).read(html or "")
 
 
 def _element_lists(pages: list[str | None], links: bool) -> pa.Array:

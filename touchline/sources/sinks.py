@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -143,15 +145,50 @@ def latest_snapshot(spark: SparkSession, path: str) -> str | None:
     return None
 
 
+def _bucket_note(spark: SparkSession, folder: str):
+    note = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_buckets")
+    return note.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), note
+
+
 def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """The newest state table; empty before the first run."""
+    """The newest state table; empty before the first run.
+
+    A version written in buckets is read as a bucketed table, which this makes known to
+    the session's catalog under a name of its own: joins on ``match_id`` then leave the
+    state where it lies."""
     folder = latest_snapshot(spark, path)
     if folder is None:
         return spark.createDataFrame([], schemas.STATE)
-    return spark.read.schema(schemas.STATE).parquet(folder)
+    fs, note = _bucket_note(spark, folder)
+    if not fs.exists(note):
+        return spark.read.schema(schemas.STATE).parquet(folder)
+    stream = fs.open(note)
+    buckets = stream.readInt()
+    stream.close()
+    name = f"touchline_state_{hashlib.sha256(folder.encode()).hexdigest()[:24]}"
+    where = folder.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({schemas.STATE}) USING parquet "
+        f"CLUSTERED BY (match_id) SORTED BY (match_id) INTO {buckets} BUCKETS LOCATION '{where}'"
+    )
+    return spark.table(name)
 
 
-def write_state(state: DataFrame, path: str, stamp: str | None = None) -> str:
-    """The state as a new version. The old one stays readable while it is
-    the source of the new one."""
-    return write_snapshot(state, path, stamp)
+def write_state(state: DataFrame, path: str, stamp: str | None = None, buckets: int | None = None) -> str:
+    """The state as a new version, bucketed and sorted by match. The old one stays
+    readable while it is the source of the new one. An upsert of a bucketed state
+    comes in buckets already, so nothing is shuffled here."""
+    spark = state.sparkSession
+    folder = f"{path.rstrip('/')}/run_id={stamp or run_stamp()}"
+    number = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"touchline_state_{uuid.uuid4().hex}"
+    (
+        state.write.mode("error").format("parquet").bucketBy(number, "match_id").sortBy("match_id")
+        .option("path", folder).saveAsTable(name)
+    )
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    fs, note = _bucket_note(spark, folder)
+    out = fs.create(note, True)
+    out.writeInt(number)
+    out.close()
+    return folder

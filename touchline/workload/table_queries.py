@@ -10,6 +10,7 @@ from touchline.operators import state as state_ops
 from touchline.operators.counts import goal_count, layer_counts, player_count
 from touchline.operators.documents import clean_documents, flatten_documents, merge_stat_maps
 from touchline.operators.gold import all_perspectives, team_alias_match, team_record
+from touchline.operators.ranking import numbered
 from touchline.operators.silver import stat_pivot, to_long, to_wide
 from touchline.plans import medallion as jobs
 from touchline.session import scratch_dir
@@ -390,6 +391,31 @@ def j3(spark, sf):
     return state_ops.upsert_state(old, new).select("match_id", "status")
 
 
+def _stored_state(spark, sf):
+    """One state per id, as the last run wrote it: bucketed by match."""
+    path = scratch_dir(spark, "state")
+    sinks.write_state(dedupe.keep_last(state(spark, sf).drop("event_id"), ["match_id"], ["last_updated", "status"]), path)
+    return sinks.read_state(spark, path)
+
+
+@query("j1_bucketed_state", o.with_(o.MATCHES, _LATEST_STATE) + """SELECT match_id, season, matchweek, home_team FROM matches m
+  WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.match_id = m.match_id AND l.status = 'PLAYED')""")
+def j1_bucketed(spark, sf):
+    """The stored state stays in its buckets; only the work list moves."""
+    return state_ops.skip_played(matches(spark, sf).select("match_id", "season", "matchweek", "home_team"), _stored_state(spark, sf))
+
+
+@query("j3_bucketed_state", o.with_(o.MATCHES, _LATEST_STATE) + """SELECT coalesce(m.match_id, l.match_id) AS match_id,
+  CASE WHEN m.match_id IS NULL THEN l.status WHEN m.home_score IS NULL THEN 'SCHEDULED' ELSE 'PLAYED' END AS status
+  FROM matches m FULL JOIN latest l ON m.match_id = l.match_id""")
+def j3_bucketed(spark, sf):
+    """The stored state after an upsert, written and read again."""
+    path = scratch_dir(spark, "state_after")
+    new = state_ops.match_states(documents(spark, sf), F.to_timestamp("scraped_at"))
+    sinks.write_state(state_ops.upsert_state(_stored_state(spark, sf), new), path)
+    return sinks.read_state(spark, path).select("match_id", "status")
+
+
 _BOTH_SIDES = """sides AS (SELECT match_id, home_team AS team, away_team AS opponent, home_score AS gs, away_score AS gc FROM matches
   UNION ALL SELECT match_id, away_team, home_team, away_score, home_score FROM matches)"""
 
@@ -485,10 +511,15 @@ def a8(spark, sf):
 @query("w1_row_number", "SELECT event_id, user_id, CAST(row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) AS INTEGER) AS rn FROM events")
 def w1(spark, sf):
     """Row number per type and user, the window behind A1, A2, A7 and O2."""
-    from pyspark.sql import Window
+    rows = numbered(table(spark, sf, "events"), ["event_type", "user_id"], ["ts", "event_id"])
+    return rows.select("event_id", "user_id", F.col("rn").cast("int").alias("rn"))
 
-    window = Window.partitionBy("event_type", "user_id").orderBy("ts", "event_id")
-    return table(spark, sf, "events").select("event_id", "user_id", F.row_number().over(window).alias("rn"))
+
+@query("w1_hot_key", "SELECT event_id, user_id, CAST(row_number() OVER (PARTITION BY event_type = 'error' ORDER BY ts DESC, event_id) AS BIGINT) AS rn FROM events")
+def w1_hot(spark, sf):
+    """Two keys, of which one has most of the rows: it splits over the tasks."""
+    events = table(spark, sf, "events").withColumn("key", F.col("event_type") == "error")
+    return numbered(events, ["key"], [F.col("ts").desc(), F.col("event_id").asc()]).select("event_id", "user_id", "rn")
 
 
 @query("o1_sort_master", _FIXED_SQL + " ORDER BY season, matchweek, match_id")
@@ -700,6 +731,22 @@ def x8(spark, sf):
     return extract.assemble_documents(tabs).select("match_id", "page_matchweek", *_document_columns())
 
 
+@query("x8_recaptured_pages", o.with_(o.MATCHES) + f"""SELECT {_DOC.replace('home_score,', 'CASE WHEN match_id % 2 = 0 THEN 4 ELSE home_score END AS home_score,', 1)} FROM matches""")
+def x8_recaptured(spark, sf):
+    """Every page was captured twice before, with other scores; of these captures none
+    is parsed. The newest captures of even matches have a score of their own."""
+    path = scratch_dir(spark, "x8_pages")
+    now = raw_pages(spark, sf).drop("season", "matchweek")
+    scored = lambda home: F.regexp_replace("html", r'(match-header__score">)[^<]*<', f"$1{home} – 1<")
+    now = now.withColumn("html", F.when(F.col("match_id") % 2 == 0, scored(4)).otherwise(F.col("html")))
+    old = now.withColumn("fetched_at", F.col("fetched_at") - F.expr("interval 30 days")).withColumn("html", scored(7))
+    older = old.withColumn("fetched_at", F.col("fetched_at") - F.expr("interval 30 days")).withColumn("html", scored(9))
+    now.unionByName(old).unionByName(older).write.parquet(path)
+    pages = extract.newest_captures(spark.read.schema(now.schema).parquet(path))
+    docs = extract.assemble_documents(extract.extract_tabs(with_elements(pages)))
+    return docs.select("match_id", "page_matchweek", *_document_columns())
+
+
 # --- jobs ---------------------------------------------------------------------
 
 
