@@ -54,35 +54,50 @@ def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return q @ x.T
 
 
+def begin(query_ids: np.ndarray, queries: np.ndarray, best: Best):
+    """A search for these queries, which shares one tree over them for all shards."""
+    groups = BallTree(queries, QUERY_LEAF).leaves() if len(queries) else []
+    lengths = np.sqrt((queries.astype(np.float64) ** 2).sum(1))
+
+    def shard(ids: np.ndarray, x: np.ndarray, _=None) -> None:
+        tree = BallTree(x, LEAF)
+        for group in groups:
+            _search_group(tree, ids, x, group, query_ids, queries, lengths[group], best)
+
+    return shard
+
+
+def _search_group(tree, ids, x, group, query_ids, queries, length, best) -> None:
+    q = queries[group].astype(np.float64)
+
+    def bounds(node):
+        # rounding may lower a bound by far less than this
+        exact = q @ node[2] + length * node[3]
+        return exact + 1e-9 * (1 + np.abs(exact))
+
+    heap = [(-float(bounds(tree.nodes[0]).max()), 0)]
+    while heap:
+        _, at = heapq.heappop(heap)
+        node = tree.nodes[at]
+        wanted = np.flatnonzero(bounds(node) >= best.floors[group])
+        if not len(wanted):
+            continue
+        if node[4]:
+            for child in node[4]:
+                heapq.heappush(heap, (-float(bounds(tree.nodes[child])[wanted].max()), child))
+            continue
+        rows = tree.order[node[0] : node[1]]
+        asked = group[wanted]
+        score = _products(queries[asked], x[rows])
+        fits = (score >= best.floors[asked][:, None]) & (ids[rows][None, :] != query_ids[asked][:, None])
+        r, c = np.nonzero(fits)
+        best.add(asked[r], ids[rows[c]], score[r, c])
+
+
 def search(ids, x, query_ids, queries, floors, k):
-    tree = BallTree(x, LEAF)
+    """One shard: index of the query, id and score of its k best rows above the floors."""
     best = Best(len(queries), k, floors, np.int64)
-    lengths = np.sqrt((queries.astype(np.float64) ** 2).sum(1))
-    for group in BallTree(queries, QUERY_LEAF).leaves():
-        q, length = queries[group].astype(np.float64), lengths[group]
-
-        def bounds(node):
-            # rounding may lower a bound by far less than this
-            exact = q @ node[2] + length * node[3]
-            return exact + 1e-9 * (1 + np.abs(exact))
-
-        heap = [(-float(bounds(tree.nodes[0]).max()), 0)]
-        while heap:
-            _, at = heapq.heappop(heap)
-            node = tree.nodes[at]
-            wanted = np.flatnonzero(bounds(node) >= best.floors[group])
-            if not len(wanted):
-                continue
-            if node[4]:
-                for child in node[4]:
-                    heapq.heappush(heap, (-float(bounds(tree.nodes[child])[wanted].max()), child))
-                continue
-            rows = tree.order[node[0] : node[1]]
-            asked = group[wanted]
-            score = _products(queries[asked], x[rows])
-            fits = (score >= best.floors[asked][:, None]) & (ids[rows][None, :] != query_ids[asked][:, None])
-            r, c = np.nonzero(fits)
-            best.add(asked[r], ids[rows[c]], score[r, c])
+    begin(query_ids, queries, best)(ids, x)
     return best.rows()
 
 
@@ -95,9 +110,10 @@ def exact_top_k(
     A component x becomes floor(scale * x). Queries are the rows whose id is
     divisible by ``every``, candidates all rows but those of the query's id.
     Vectors that are null, empty or hold null or non-finite components, and rows
-    without an id, take no part. Scores must fit into 63 bits.
+    without an id, take no part. Of several rows with one id, the one of smallest
+    vector takes part, as query and candidate. Scores must fit into 63 bits.
     """
     rows = embeddings.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & all_finite("v"))
     whole = F.transform("v", lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long"))
-    return top_k(rows.withColumn("v", whole), F.col("vec_id") % every == 0, k, search, "long", "topk")
+    return top_k(rows.withColumn("v", whole), F.col("vec_id") % every == 0, k, begin, "long", "topk")

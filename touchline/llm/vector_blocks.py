@@ -1,27 +1,31 @@
 """Every query vector against every other vector, in blocks.
 
-Vectors are dealt into shards by hash, queries into blocks; a task searches one
-shard for one block of queries, so its memory is bounded whatever the tables.
-A first pass searches each query's own shard only. The score its k-th result has
-there goes along as a floor to all other shards, which may leave out what is
-surely below.
+Vectors are stored once and stay where they lie. Queries are dealt into blocks of
+bounded size; for each block a job passes over the stored vectors, whose tasks
+search them shard by shard, so memory is bounded whatever the tables, and what is
+shuffled are the k best of every task and query. A first pass searches one shard
+only. The score a query's k-th result has there goes along as a floor to all
+tasks, which may leave out what is surely below.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from touchline.llm.common import stored
+from touchline.llm.common import small_batches, stored
+from touchline.session import scratch_dir
 
 SHARD_ROWS = 16_384
 BLOCK_QUERIES = 4_096
 
-#: (shard ids, shard vectors, query ids, queries, floors, k) -> query index, id, score
-Search = Callable[..., tuple[np.ndarray, np.ndarray, np.ndarray]]
+#: (query ids, queries, best) -> a function that searches a shard (ids, vectors, all
+#: its columns) and adds what it finds to ``best``.
+Begin = Callable[[np.ndarray, np.ndarray, "Best"], Callable[[np.ndarray, np.ndarray, pa.Table | None], None]]
 
 
 def all_finite(vector: str) -> Column:
@@ -63,58 +67,93 @@ class Best:
         return np.nonzero(kept)[0], self.ids[kept], self.scores[kept]
 
 
+def one_per_id(vectors: DataFrame) -> DataFrame:
+    """``vec_id``, ``v`` and ``dim``: of several rows with one id, the smallest vector."""
+    return vectors.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+
+
+def matrix(column: pa.ChunkedArray, dim: int, number) -> np.ndarray:
+    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(number, copy=False).reshape(-1, dim)
+
+
 def top_k(
-    vectors: DataFrame, is_query: Column, k: int, search: Search, score_type: str, name: str
+    vectors: DataFrame, is_query: Column, k: int, begin: Begin, score_type: str, name: str,
+    code: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` of each query's k best other rows.
 
     ``vectors`` has ``vec_id`` (long) and ``v`` (array of long or double), both
-    without nulls. Vectors of different dimension do not meet.
+    without nulls; of several rows with one id, the one of smallest vector takes part.
+    Vectors of different dimension do not meet. ``code`` may add columns before the
+    vectors are stored.
     """
-    vectors = stored(vectors.withColumn("dim", F.size("v")), name)
-    shards = 1 + vectors.count() // SHARD_ROWS
-    queries = vectors.where(is_query)
+    rows = one_per_id(vectors)
+    spark = rows.sparkSession
+    rows = stored(code(rows) if code else rows, name)
+    shards = 1 + rows.count() // SHARD_ROWS
+    # a table of its own, so that the first pass reads no other rows
+    home = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(shards)) == 0)
+    home = stored(home, f"{name}_home") if shards > 1 else None
+    queries = rows.where(is_query).select("vec_id", "v", "dim")
     blocks = 1 + queries.count() // BLOCK_QUERIES
-    vectors = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    # aliases make columns of their own, so that the two sides of a cogroup stay apart
-    queries = queries.select(*(F.col(c).alias(f"q_{c}") for c in ("vec_id", "v", "dim"))).toDF("vec_id", "v", "dim")
-    queries = (
-        queries.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
-    )
-    kind = pa.int64() if score_type == "long" else pa.float64()
+    number_of = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks))
     number = np.int64 if score_type == "long" else np.float64
-    out = f"query_id long, vec_id long, score {score_type}"
-
-    def matrix(t: pa.Table) -> np.ndarray:
-        flat = t.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        return flat.astype(number).reshape(t.num_rows, -1)
-
-    def run(shard: pa.Table, block: pa.Table) -> pa.Table:
-        empty = {"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], kind)}
-        if not shard.num_rows or not block.num_rows:
-            return pa.table(empty)
-        asked = block.column("vec_id").to_numpy()
-        floors = block.column("floor").to_numpy()
-        rows, ids, scores = search(shard.column("vec_id").to_numpy(), matrix(shard), asked, matrix(block), floors, k)
-        return pa.table(
-            {"query_id": pa.array(asked[rows]), "vec_id": pa.array(ids), "score": pa.array(scores, type=kind)}
-        )
-
-    keys = ["dim", "shard", "block"]
-    low = F.lit(float("-inf"))
-    own = queries.withColumn("floor", low).groupBy(*keys)
-    home = vectors.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    first = stored(home.groupBy(*keys).cogroup(own).applyInArrow(run, out), f"{name}_own")
-    if shards == 1:
-        found = first
-    else:
-        floor = first.groupBy("query_id").agg(F.min("score").cast("double").alias("least"), F.count(F.lit(1)).alias("n"))
-        floor = floor.select(F.col("query_id").alias("vec_id"), F.when(F.col("n") >= k, F.col("least")).alias("floor"))
-        away = queries.join(floor, "vec_id", "left").withColumn("floor", F.coalesce("floor", low))
-        away = away.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("to != shard")
-        away = away.drop("shard").withColumnRenamed("to", "shard")
-        rest = home.groupBy(*keys).cogroup(away.groupBy(*keys)).applyInArrow(run, out)
-        found = first.unionByName(rest)
+    out = scratch_dir(spark, f"{name}_found")
+    for block in range(blocks):
+        # a block has a bounded number of queries, so it may travel with the tasks
+        own = queries.where(number_of == block).orderBy("dim", "vec_id").toArrow()
+        asked = {}
+        for dim in own.column("dim").unique().to_pylist():
+            part = own.filter(pc.equal(own.column("dim"), dim))
+            asked[dim] = (part.column("vec_id").to_numpy(), matrix(part.column("v"), dim, number))
+        floors: dict[int, float] = {}
+        if home is not None:
+            first = _best_of(_search(home, asked, {}, k, begin, score_type), k)
+            least = first.groupBy("query_id").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
+            floors = {r["query_id"]: float(r["least"]) for r in least.where(F.col("n") >= k).collect()}
+        found = _best_of(_search(rows, asked, floors, k, begin, score_type), k)
+        found.write.parquet(f"{out}/block={block}")
+    found = spark.read.schema(f"query_id long, rank int, vec_id long, score {score_type}, block int").parquet(out)
+    return found.drop("block")
+
+
+def _best_of(found: DataFrame, k: int) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _search(rows: DataFrame, asked: dict, floors: dict[int, float], k: int, begin: Begin, score_type: str) -> DataFrame:
+    """What each task finds best in its rows for every query of a block. A task reads
+    a shard after the other; the k-th scores of one are floors for the next."""
+    number = np.int64 if score_type == "long" else np.float64
+    kind = pa.int64() if score_type == "long" else pa.float64()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = {}
+        for dim, (ids, vectors) in asked.items():
+            low = np.array([floors.get(i, -np.inf) for i in ids.tolist()])
+            best = Best(len(ids), k, low, number)
+            work[dim] = (ids, best, begin(ids, vectors, best))
+        held, size = [], 0
+
+        def flush() -> None:
+            shard = pa.Table.from_batches(held)
+            for dim in shard.column("dim").unique().to_pylist():
+                if dim in work:
+                    part = shard.filter(pc.equal(shard.column("dim"), dim))
+                    work[dim][2](part.column("vec_id").to_numpy(), matrix(part.column("v"), dim, number), part)
+
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= SHARD_ROWS:
+                flush()
+                held, size = [], 0
+        if size:
+            flush()
+        for ids, best, _ in work.values():
+            at, found, scores = best.rows()
+            yield pa.record_batch({"query_id": pa.array(ids[at]), "vec_id": pa.array(found), "score": pa.array(scores, type=kind)})
+
+    return small_batches(rows).mapInArrow(run, f"query_id long, vec_id long, score {score_type}")
