@@ -9,7 +9,7 @@ import pytest
 from compare import difference
 from pyspark.sql import functions as F
 
-from touchline.llm import ann_codes, ngram_join, topk_exact
+from touchline.llm import ann_codes, license_scan, ngram_join, topk_exact
 from touchline.llm.components import connected
 from touchline.llm.queries import ORACLES, QUERIES
 
@@ -217,3 +217,64 @@ def test_error_bound_of_codes():
     guess, error = codes.estimate(slice(0, 2000), (q @ turn.T).astype(np.float32), q @ codes.mean, np.sqrt((q**2).sum(1)))
     exact = q @ x.T
     assert (np.abs(guess - exact) <= error).mean() > 0.97 and abs((guess - exact).mean()) < 0.1
+
+
+def test_repeated_ids_take_part_once(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(60)]
+    rows += [(20, [9.0, 9.0, 9.0, 9.0]), (20, rows[20][1]), (31, [-9.0] * 4), (31, rows[31][1]), (40, rows[40][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    own = {}
+    for i, v in rows:
+        own[i] = min(own.get(i, v), v)
+    vs = {i: np.array(v) for i, v in own.items()}
+    assert found(topk_exact.exact_top_k(df, k=5)) == brute(vs, 5, True)
+    got, want = found(ann_codes.approximate_top_k(df, k=5)), brute(vs, 5, False)
+    assert {q: [i for i, _ in r] for q, r in got.items()} == {q: [i for i, _ in r] for q, r in want.items()}
+
+
+@pytest.mark.parametrize("dim", [3, 64, 100])
+def test_bit_planes_give_the_rounded_products(dim):
+    rng = np.random.default_rng(dim)
+    x, q = rng.normal(size=(50, dim)), rng.normal(size=(7, dim)).astype(np.float32)
+    codes = ann_codes.Codes(x, ann_codes.rotation(dim))
+    signs = np.unpackbits(codes.packed, axis=1, count=dim, bitorder="little").astype(np.float64) * 2 - 1
+    planes = ann_codes.Planes(q)
+    levels = np.rint((q - planes.low[:, None]) / planes.step[:, None])
+    rounded = planes.low[:, None] + levels * planes.step[:, None]
+    assert np.allclose(planes.sums(codes.words, codes.ones), rounded @ signs.T, atol=1e-3)
+    assert (np.abs(rounded - q) <= planes.step[:, None] / 2 + 1e-5).all()
+
+
+# --- licenses --------------------------------------------------------------------
+
+
+def test_templates_of_any_length(spark):
+    """Blocks against templates of 3 to 150 words, against a plain version."""
+    pick = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    templates = [(f"t{n}", " ".join(pick.choice(words) for _ in range(n))) for n in (3, 10, 40, 70, 150)]
+    texts = []
+    for i in range(80):
+        text = [pick.choice(words[:200]) for _ in range(pick.randint(0, 300))]
+        _, template = pick.choice(templates)
+        own = [w for w in template.split() if pick.random() > pick.choice([0.0, 0.1, 0.2])]
+        at = pick.randint(0, len(text))
+        texts.append((i, " ".join(text[:at] + own + text[at:])))
+    found_ = license_scan.scan_licenses(spark.createDataFrame(texts, "doc_id long, text string"), templates=templates)
+    got = {r["doc_id"]: (sorted(r["found"]), round(r["score"], 9)) for r in found_.collect()}
+    for i, text in texts:
+        ws, labels, best = text.split(), [], 0.0
+        for label, template in templates:
+            own, stride = set(template.split()), max(32, 1 << (len(template.split()) - 1).bit_length())
+            need = math.ceil(0.85 * len(own) - 1e-9)
+            most = max((len(own & set(ws[at : at + 2 * stride])) for at in range(-stride, len(ws), stride) for at in [max(at, 0)]), default=0)
+            first = len(own & set(ws[:stride]))
+            most = max(most, first)
+            if most >= need:
+                labels.append(label)
+                best = max(best, most / len(own))
+        assert got[i] == (sorted(labels), round(best, 9)), i
+    assert sum(bool(labels) for labels, _ in got.values()) > 20
+    empty = license_scan.scan_licenses(spark.createDataFrame(texts[:3], "doc_id long, text string"), templates=[])
+    assert {tuple(r["found"]) for r in empty.collect()} == {()}

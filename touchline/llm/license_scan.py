@@ -3,8 +3,8 @@
 Blocks are overlapping windows of words. The words of the templates are ordered
 by their frequency in the whole corpus; a block that holds enough of a template
 must hold one of its rarest words (prefix filter), have enough of its words at
-all (length filter) and, from the first shared word in that order on, still have
-enough left (positional filter). What passes is compared set with set.
+all (length filter) and, from the first shared word in that order on, both must
+still have enough left (positional filter). What passes is compared set with set.
 
 Only DataFrame functions are used. The templates are a parameter of fixed size,
 so the index made of them is broadcast.
@@ -38,12 +38,16 @@ TEMPLATES = (
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: A block begins every ``STRIDE`` words and is twice as long; templates are no
-#: longer than a stride, so each stands whole in a block.
+#: A block begins every ``STRIDE`` words and is twice as long. Templates longer than
+#: that have a stride of the next power of two, so each stands whole in a block.
 STRIDE = 32
 CONTAINMENT = 0.85
 
 
+def _stride(words: int) -> int:
+    return max(STRIDE, 1 << (words - 1).bit_length())
+
+
 def words_of(text: str) -> Column:
     """Words of a text, A-Z lower-cased; none for null."""
     low = F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), UPPER, LOWER)
@@ -86,12 +90,11 @@ def scan_licenses(
     containment of a template in a block that meets the threshold, else 0.
 
     A null text counts as empty: no words, no places, no labels. Rows that occur
-    twice stay two rows.
+    twice stay two rows. Templates may have any length: longer ones have longer blocks.
     """
     spark = docs.sparkSession
     sets = [(label, _template_words(t)) for label, t in templates]
-    if any(len(t.split()) > STRIDE for _, t in templates):
-        raise ValueError(f"templates may have {STRIDE} words at most")
+    ws_of = [len(t.replace(".", " ").split()) for _, t in templates]
     vocabulary = sorted({w for _, ws in sets for w in ws})
 
     rows = docs.select(F.struct(*keep).alias("kept"), words_of(text).alias("words"))
@@ -111,29 +114,39 @@ def scan_licenses(
         "license_words",
     )
 
-    # global order of the templates' words, and the index of their prefixes
+    # global order of the templates' words, and the index of their prefixes; both are
+    # as large as the templates, which are a parameter
     counts = rows.select(F.explode("hits.w").alias("w")).groupBy("w").count().collect()
     often = {r["w"]: r["count"] for r in counts}
     place = {w: n for n, w in enumerate(sorted(vocabulary, key=lambda w: (often.get(w, 0), w)))}
-    index, first = [], set()
+    order = spark.createDataFrame(list(place.items()) or [("", 0)], "w string, place int")
+    entries = []
     for number, (label, ws) in enumerate(sets):
-        ws = sorted(ws, key=place.__getitem__)
+        ws = sorted(place[w] for w in ws)
         need = math.ceil(containment * len(ws) - 1e-9)
-        for at, w in enumerate(ws[: len(ws) - need + 1]):
-            values = {"w": w, "template": number, "label": label, "at": at, "need": need}
-            columns = [F.lit(v).alias(k) for k, v in values.items()]
-            index.append(F.struct(*columns, F.array(*map(F.lit, ws)).alias("ws")))
-            first.add(w)
-    index = spark.range(1).select(F.inline(F.array(*index)))
-
-    hits = rows.select("row", "hits").where(F.arrays_overlap("hits.w", F.array(*map(F.lit, sorted(first)))))
-    hits = hits.select("row", F.explode("hits").alias("h"))
-    block = (F.col("h.i") / STRIDE).cast("int")
-    hits = hits.select("row", F.explode(F.array(block, block - 1)).alias("block"), F.col("h.w").alias("w"))
-    blocks = hits.groupBy("row", "block").agg(F.collect_set("w").alias("held"))  # no more than the templates' words
-    pairs = blocks.withColumn("w", F.explode("held")).join(F.broadcast(index), "w")
+        entries += [(w, number, label, _stride(ws_of[number]), at, need, ws) for at, w in enumerate(ws[: len(ws) - need + 1])]
+    index = spark.createDataFrame(
+        entries, "place int, template int, label string, stride int, at int, need int, ws array<int>"
+    )
+    words = {n: w for w, n in place.items()}
+    first = sorted({words[e[0]] for e in entries})
+
+    hits = rows.select("row", "hits").where(F.arrays_overlap("hits.w", F.array(*map(F.lit, first)).cast("array<string>")))
+    hits = hits.select("row", F.explode("hits").alias("h")).select("row", F.col("h.i").alias("i"), F.col("h.w").alias("w"))
+    hits = hits.join(F.broadcast(order), "w")
+    strides = sorted({e[3] for e in entries}) or [STRIDE]
+    numbers = lambda n: ((F.col("i") / n).cast("int"), (F.col("i") / n).cast("int") - 1)
+    within = [F.struct(F.lit(n).alias("stride"), block.alias("block")) for n in strides for block in numbers(n)]
+    hits = hits.select("row", F.explode(F.array(*within)).alias("b"), "place").select("row", "b.stride", "b.block", "place")
+    blocks = hits.groupBy("row", "stride", "block").agg(F.array_sort(F.collect_set("place")).alias("held"))  # no more than the templates' words
+    pairs = blocks.select("*", F.posexplode("held").alias("pos", "place")).join(F.broadcast(index), ["place", "stride"])
     pairs = pairs.where(F.size("held") >= F.col("need"))
-    pairs = pairs.where(F.size("ws") - F.col("at") >= F.col("need")).dropDuplicates(["row", "block", "template"])
+    # behind the first shared word, what both sides have left bounds what they can share
+    pairs = pairs.groupBy("row", "stride", "block", "template").agg(
+        F.min(F.struct("at", "pos")).alias("first"), *(F.first(c).alias(c) for c in ("held", "label", "need", "ws"))
+    )
+    left = F.least(F.size("ws") - F.col("first.at"), F.size("held") - F.col("first.pos"))
+    pairs = pairs.where(left >= F.col("need"))
     shared = F.size(F.array_intersect("held", "ws"))
     linked = pairs.where(shared >= F.col("need")).select("row", "label", (shared / F.size("ws")).alias("share"))
     linked = linked.groupBy("row").agg(F.collect_set("label").alias("found"), F.max("share").alias("score"))
