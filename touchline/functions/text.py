@@ -62,9 +62,13 @@ def iso_now(ts: Column | None = None) -> Column:
     return F.date_format(F.current_timestamp() if ts is None else ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
+# Fixed value: the match id in a link.
+MATCH_LINK_PATTERN = r"match/(\d+)"
+
+
 def match_id_from_href(href: Column) -> Column:
     """F10."""
-    return extract(href, r"match/(\d+)").try_cast("bigint")
+    return extract(href, MATCH_LINK_PATTERN).try_cast("bigint")
 
 
 # Fixed value: two numbers joined by a hyphen or an en dash.
@@ -91,6 +95,7 @@ def matchweek_from_text(labels: list[Column], page_text: Column) -> Column:
     return F.coalesce(*found).try_cast("int")
 
 
+# Fixed value: how a half-time score is written.
 HALF_TIME_PATTERN = r"(?i)HT\s*(\d+)\s*[-–]\s*(\d+)"
 
 
@@ -137,9 +142,13 @@ def managers_from_text(text: Column) -> tuple[Column, Column]:
     return _first_two(F.regexp_extract_all(text, F.lit(MANAGER_PATTERN), F.lit(1)), strip)
 
 
+# Fixed value: the number a statistic begins with.
+LEADING_NUMBER_PATTERN = r"^([\d.]+)"
+
+
 def leading_number(v: Column) -> Column:
     """``412 (86%)`` -> ``412``; a text without leading number stays."""
-    return F.coalesce(extract(v, r"^([\d.]+)"), blank_to_null(v))
+    return F.coalesce(extract(v, LEADING_NUMBER_PATTERN), blank_to_null(v))
 
 
 def strip_label(text: Column, label: str = "Referee:") -> Column:

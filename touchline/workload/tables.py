@@ -206,6 +206,8 @@ def season_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- stored pages -------------------------------------------------------------
 
+# Class names and test ids in these pages are those that selectors ask for.
+
 
 def _li(text: Column, inner: Column | None = None) -> Column:
     return F.concat(F.lit("<li>"), text if inner is None else inner, F.lit("</li>"))
