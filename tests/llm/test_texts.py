@@ -95,6 +95,30 @@ def test_chunks_tokenize_like_the_text(text):
     assert np.frombuffer(packing.tokenizer(path)(text), dtype="<u4").tolist() == want
 
 
+def test_texts_of_any_code_points_tokenize_alike():
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    own, pick = Tokenizer.from_file(path), random.Random(21)
+    parts = "İ I\u0307 \u0307 \x1c \x1d \x85 \xa0 \u3000 . , K ß ﬁ Σ ς é \u200d 你 😀 <| |> 's ' 5".split(" ") + [" ", "\n", ". ", ", ", ".\n", "<|endoftext|>"]
+    char = lambda: chr(pick.choice([pick.randrange(32, 127), pick.randrange(0, 0x250), pick.randrange(0, 0x3000), pick.randrange(0xA000, 0xD7FF)]))
+    texts = ["".join(pick.choice(parts) if pick.random() < 0.5 else char() for _ in range(pick.randint(0, 25))) for _ in range(6_000)]
+    texts += ["Dr. İ. Kaya", "AKDENİ, x", "a\x1c. b", "x" * 200 + ". " + "y" * 300 + ",", None, ""]
+    coder = packing.Encoder(path)
+    for at in range(0, len(texts), 50):
+        for text, ids in zip(texts[at : at + 50], coder.encode(texts[at : at + 50])):
+            assert np.frombuffer(ids, dtype="<u4").tolist() == own.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_encoder_that_forgets(monkeypatch):
+    """A full memory is dropped between two calls, never within one."""
+    monkeypatch.setattr(packing, "MEMO_CHUNKS", 3)
+    path = P.path("word_bpe_49k.json")
+    coder, whole = packing.Encoder(path), packing.Encoder(path)
+    texts = [f"one two, three{i}. {'long' * 30}{i}. " for i in range(40)]
+    assert [coder.encode([t])[0] for t in texts] == whole.encode(texts)
+
+
 # --- personal data ---------------------------------------------------------------
 
 
