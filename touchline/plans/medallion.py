@@ -20,7 +20,7 @@ from touchline.operators.extract import assemble_documents, extract_match_cards,
 from touchline.operators.gold import (
     all_perspectives, gold_columns, team_alias_match, team_filter, team_record,
 )
-from touchline.operators.masters import gold_master, lineage_of, silver_master, sort_master, union_tables
+from touchline.operators.masters import gold_master, key_order, lineage_of, silver_master, sort_master, union_tables
 from touchline.operators.silver import to_long, to_wide
 from touchline.operators.state import match_states, skip_played, upsert_state
 from touchline.session import configure
@@ -95,9 +95,15 @@ def silver_to_gold_all(
 
 
 def global_masters(
-    silver: DataFrame, gold: DataFrame, order: Sequence[str] = LATEST_ORDER
+    silver: DataFrame, gold: DataFrame, order: Sequence[str] = LATEST_ORDER, keep: str = "latest",
+    seasons: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """M3: the Silver master, sorted, and the Gold master."""
+    """M3: the Silver master, sorted, and the Gold master. With ``keep="key_order"`` the
+    last version of a match is the last one read, ``seasons`` one after the other."""
+    if keep not in ("latest", "key_order"):
+        raise ValueError(f"keep is latest or key_order, not {keep}")
+    if keep == "key_order":
+        order = key_order(seasons)
     return sort_master(silver_master(silver, order)), gold_master(gold, order)
 
 
