@@ -459,3 +459,56 @@ def test_licenses(spark, odd, odd_rows, none):
     assert license_scan.scan_licenses(none).count() == 0
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+# --- languages side by side ------------------------------------------------------
+
+
+def test_phrases_side_by_side():
+    """All stretches in one table give the phrases of each automaton alone, over blanks."""
+    for seed in range(3):
+        pick = random.Random(seed)
+        made = lambda n, letters: " ".join("".join(pick.choice(letters) for _ in range(n)).split())
+        samples = [(name, made(300, letters)) for name, letters in (("a", "abcd "), ("b", "cdef "), ("c", "aefg "))]
+        automata = [langid.SuffixAutomaton(text) for _, text in samples]
+        parser = langid.CrossParser(samples)
+        texts = [made(pick.randint(0, 500), "abcdefghz ") for _ in range(100)] + [""]
+        assert parser.count(texts).tolist() == [[a.phrases(t) for a in automata] for t in texts]
+        long = made(5_000, "abcdef ")
+        parts = [long[at : at + langid.STRETCH] for at in range(0, len(long), langid.STRETCH)]
+        assert parser.count([long])[0].tolist() == [sum(a.phrases(p) for p in parts) for a in automata]
+
+
+def test_prediction_is_the_smallest_entropy(monkeypatch):
+    monkeypatch.setattr(langid, "PIECE", 2 * langid.STRETCH)
+    monkeypatch.setattr(langid, "PIECES", 3)
+    pick = random.Random(5)
+    made = lambda n, words: " ".join(pick.choice(words.split()) for _ in range(n))
+    kinds = {"xx": "the cat sat on a mat", "yy": "die katze lag auf der matte", "zz": "le chat dort sur un tapis"}
+    samples = [(name, made(200, words)) for name, words in kinds.items()]
+    parser = langid.CrossParser(samples)
+    texts = [made(pick.choice([1, 5, 40, 900]), kinds[name]) for name in list(kinds) * 10] + [None, "", " 12 !", "Ω"]
+    for text, (name, score) in zip(texts, parser.predict(texts)):
+        read = " ".join(langid.letters_of(text or ""))
+        if not read:
+            assert (name, score) == ("und", 0.0)
+            continue
+        parts = [read[at : at + langid.STRETCH] for at in range(0, len(read), langid.STRETCH)]
+        entropy = [sum(map(langid.SuffixAutomaton(s).phrases, parts)) * np.log2(len(s) + 2) / len(read) for _, s in samples]
+        assert name == samples[int(np.argmin(entropy))][0]
+        assert score == pytest.approx(1 / sum(np.exp(-4 * (e - min(entropy))) for e in entropy))
+
+
+def test_a_larger_bound_learns_no_less():
+    words = [f"word{i}" for i in range(500)]
+    assert langid._stretches(words, 10**9) == [" ".join(words[at : at + 25]) for at in range(0, 500, 25)]
+    some = langid._stretches(words, 900)
+    assert 900 <= sum(len(w) for s in some for w in s.split()) < 900 + 25 * 7 and len({s for s in some}) == len(some)
+    assert max(words.index(s.split()[0]) for s in some) > 300 and langid._stretches([], 5) == []
+
+
+def test_languages_of_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = langid.identify_languages(docs, langid.learn_languages(docs), keep=["doc_id", "lang"])
+    held = [r for r in found.collect() if r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2]
+    assert sum(r["lang"] == r["lang_pred"] for r in held) >= 0.98 * len(held) > 100

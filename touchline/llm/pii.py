@@ -4,15 +4,15 @@ The patterns give the base spans, and on a bounded sample of documents they are
 the labelled spans the network learns from. The network is written and trained
 in numpy. It reads overlapping windows of characters around digits and at
 signs: every kind it knows has one of the two, so text without them can hold no
-span of its own and is not read by it. Every character takes the tag of the
-window in which it lies farthest from an edge, spans are joined over the whole
-text, and a span of the network stands only where no base span is.
+span of its own and is not read by it. Where windows overlap, the mean of their
+scores counts, and the CRF decodes all windows that hang together as one run. A
+span of the network stands only where no base span is.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -259,70 +259,188 @@ def _plausible(kind: int, found: str) -> bool:
     return 12 <= digits <= 19 if kind == 2 else 9 <= digits <= 15
 
 
+def _runs(starts: Sequence[int], n: int) -> list[list[int]]:
+    """Windows that overlap or touch, as lists of their starts."""
+    runs: list[list[int]] = []
+    for s in starts:
+        if runs and s <= runs[-1][-1] + WINDOW:
+            runs[-1].append(s)
+        else:
+            runs.append([s])
+    return runs
+
+
+def best_path(emit: np.ndarray, trans: np.ndarray, lengths: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """The best tags of pieces of text side by side, the longest first (Viterbi).
+
+    ``emit`` is pieces x steps x tags. ``before`` and ``after`` tell which pieces stand
+    behind and in front of a line break, whose tag is none."""
+    n, steps, tags_ = emit.shape
+    best = emit[:, 0] + np.where(before[:, None], trans[0], 0)
+    back = np.zeros((n, steps, tags_), dtype=np.int8)
+    active = np.searchsorted(-lengths, -np.arange(steps), side="left")
+    for t in range(1, steps):
+        k = active[t]
+        way = best[:k, :, None] + trans
+        back[:k, t] = way.argmax(1)
+        best[:k] = way.max(1) + emit[:k, t]
+    now = (best + np.where(after[:, None], trans[:, 0], 0)).argmax(1)
+    tags = np.zeros((n, steps), dtype=np.int8)
+    at = np.arange(n)
+    for t in range(steps - 1, -1, -1):
+        k = active[t]
+        tags[:k, t] = now[:k]
+        now[:k] = back[at[:k], t, now[:k]]
+    return tags
+
+
+#: Scores of characters that are decoded side by side, so that memory is bounded.
+SIDE_BY_SIDE = 1 << 20
+
+
+def _decoded(text: str, run: list[int], scores: np.ndarray, pieces: list) -> None:
+    """Cut a run of windows into pieces between line breaks. A character in several
+    windows has the mean of their scores."""
+    low, high = run[0], min(len(text), run[-1] + WINDOW)
+    total = np.zeros((high - low, _TAGS), dtype=np.float32)
+    times = np.zeros((high - low, 1), dtype=np.float32)
+    for s, own in zip(run, scores):
+        size = min(WINDOW, len(text) - s)
+        total[s - low : s - low + size] += own[:size]
+        times[s - low : s - low + size] += 1
+    total /= times
+    at = 0
+    while at < high - low:
+        end = text.find("\n", low + at, high) - low
+        end = high - low if end < 0 else end
+        if end > at:
+            pieces.append((low + at, total[at:end], at > 0, end < high - low))
+        at = end + 1
+
+
+def _paths(pieces: list, trans: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Number of every piece and its best tags; pieces of like lengths go together."""
+    order = sorted(range(len(pieces)), key=lambda n: -len(pieces[n][1]))
+    at = 0
+    while at < len(order):
+        longest = len(pieces[order[at]][1])
+        end = at + 1
+        while end < len(order) and 2 * len(pieces[order[end]][1]) >= longest and (end - at) * longest < SIDE_BY_SIDE:
+            end += 1
+        some = order[at:end]
+        emit = np.zeros((len(some), longest, _TAGS), dtype=np.float32)
+        for row, n in enumerate(some):
+            emit[row, : len(pieces[n][1])] = pieces[n][1]
+        lengths = np.array([len(pieces[n][1]) for n in some])
+        tags = best_path(emit, trans, lengths, np.array([pieces[n][2] for n in some]), np.array([pieces[n][3] for n in some]))
+        for row, n in enumerate(some):
+            yield n, tags[row, : lengths[row]]
+        at = end
+
+
+def spans_of_tags(tags: np.ndarray, start: int) -> list[Span]:
+    """Runs of one kind; a begin tag starts another run."""
+    found: list[Span] = []
+    marked = np.flatnonzero(tags).tolist()
+    run = None
+    for p in marked:
+        tag = int(tags[p])
+        kind = (tag - 1) // 2
+        if run and run[1] == kind and run[2] == p and tag != 1 + 2 * kind:
+            run[2] = p + 1
+            continue
+        if run:
+            found.append((start + run[0], run[1], start + run[2]))
+        run = [p, kind, p + 1]
+    if run:
+        found.append((start + run[0], run[1], start + run[2]))
+    return found
+
+
 def network_spans(texts: Sequence[str], tagger: Tagger | None) -> list[list[Span]]:
-    """Spans the network finds in each text, before base spans are considered."""
-    places = [(n, s) for n, t in enumerate(texts) for s in window_starts(t)]
+    """Spans the network finds in each text, before base spans are considered.
+
+    Windows are scored a batch at a time; where they overlap, their scores are averaged,
+    and each run of windows is decoded as a whole. No kind of personal data goes
+    over a line break, so a break has no tag, which parts a run into independent pieces.
+    """
     out: list[list[Span]] = [[] for _ in texts]
-    if tagger is None or not places:
+    if tagger is None:
         return out
-    by_text: dict[int, dict[int, tuple[int, int]]] = {}
-    for at in range(0, len(places), 1024):
-        part = places[at : at + 1024]
-        tags = tagger.decode(np.array([_encode(texts[n], s) for n, s in part])).tolist()
-        for (n, s), row in zip(part, tags):
-            chosen = by_text.setdefault(n, {})
-            for p in range(min(WINDOW, len(texts[n]) - s)):
-                depth = min(p, WINDOW - 1 - p)
-                if s + p not in chosen or chosen[s + p][0] < depth:
-                    chosen[s + p] = (depth, row[p])
-    for n, chosen in by_text.items():
-        text, run = texts[n], None
-        for p in sorted(chosen) + [len(text) + 1]:
-            tag = chosen[p][1] if p in chosen else 0
-            kind = (tag - 1) // 2
-            if run and (not tag or kind != run[1] or p != run[2] or tag == 1 + 2 * kind):
-                out[n].append(tuple(run))
-                run = None
-            if tag:
-                if run:
-                    run[2] = p + 1
-                else:
-                    run = [p, kind, p + 1]
-        edges = [
+    runs = [(n, run) for n, t in enumerate(texts) for run in _runs(window_starts(t), len(t))]
+    pieces: list = []
+    owner: list[int] = []
+    held: list[tuple[int, list[int]]] = []
+    size = 0
+
+    def flush() -> None:
+        places = [(n, s) for n, run in held for s in run]
+        scores = [
+            tagger.scores(np.array([_encode(texts[n], s) for n, s in places[at : at + 1024]]))[0].astype(np.float32)
+            for at in range(0, len(places), 1024)
+        ]
+        scores, at = np.concatenate(scores), 0
+        for n, run in held:
+            _decoded(texts[n], run, scores[at : at + len(run)], pieces)
+            owner.extend([n] * (len(pieces) - len(owner)))
+            at += len(run)
+        for piece, tags in _paths(pieces, tagger.p["t"]):
+            out[owner[piece]] += spans_of_tags(tags, pieces[piece][0])
+        pieces.clear()
+        owner.clear()
+        held.clear()
+
+    for n, run in runs:
+        held.append((n, run))
+        size += len(run)
+        if size >= 4096:
+            flush()
+            size = 0
+    if held:
+        flush()
+    for n, text in enumerate(texts):
+        out[n] = [
             (s, k, e)
-            for s, k, e in out[n]
+            for s, k, e in sorted(out[n])
             if _plausible(k, text[s:e])
             and not (s and text[s - 1].isalnum())
             and not (e < len(text) and text[e].isalnum())
         ]
-        out[n] = edges
     return out
 
 
+def without_crossing(base: Sequence[Span], more: Sequence[Span]) -> list[Span]:
+    """Spans of ``more`` that overlap none of ``base``; both sorted, and those of ``more``
+    one behind the other. One pass over both lists."""
+    kept, at, reach = [], 0, -1
+    for s, k, e in more:
+        while at < len(base) and base[at][0] < e:
+            reach = max(reach, base[at][2])
+            at += 1
+        if reach <= s:
+            kept.append((s, k, e))
+    return kept
+
+
 def all_spans(texts: Sequence[str], tagger: Tagger | None) -> list[tuple[list[Span], list[Span]]]:
     """Base spans, and these with the network's wherever it crosses none."""
     made = []
     for text, more in zip(texts, network_spans(texts, tagger)):
         base = base_spans(text)
-        extra, i = [], 0
-        ends = sorted(base)
-        for s, k, e in more:
-            if not any(bs < e and s < be for bs, _, be in ends):
-                extra.append((s, k, e))
-        made.append((base, sorted([*base, *extra])))
+        made.append((base, sorted([*base, *without_crossing(sorted(base), more)])))
     return made
 
 
 def train_tagger(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", most_documents: int = 2000, most_windows: int = 900
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", most_documents: int = 2000, most_windows: int = 900, each: int = 6
 ) -> Tagger | None:
     """Learn from at most ``most_documents`` documents that hold a digit or an at
     sign, chosen by hash of their id, and at most ``most_windows`` windows of
-    them, a third of these without a span. None when there is no labelled span.
+    them, a third of these without a span; of one document at most ``each`` windows, half
+    of them with spans as far as there are any. None when there is no labelled span.
     """
     marked = docs.where(F.col(text).rlike("[0-9@]"))
     sample = rows_of_ids(docs, id_column, bounded_ids(marked, id_column, most_documents))
-    each = 6
 
     def make():
         def work(texts):
@@ -357,7 +475,9 @@ def find_pii(
 
     ``base`` has the matches of the patterns, ``spans`` also those of the
     network; without a network both are equal. Places count code points, ends
-    are exclusive. A null text counts as empty; repeated rows stay repeated.
+    are exclusive. A null text counts as empty; repeated rows stay repeated. Work and
+    memory of a long text follow its windows; one run of them without a line break is
+    decoded as a whole.
     """
     kind = "array<struct<start:long,kind:string,end:long>>"
     weights = None if tagger is None else (tagger.hidden, tagger.p)
