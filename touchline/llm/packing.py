@@ -12,8 +12,9 @@ from __future__ import annotations
 import os
 import zlib
 from array import array
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -26,6 +27,9 @@ from touchline.llm.common import _slices, small_batches, stored, worker_cache
 MEMO_CHUNKS = 300_000
 MEMO_BYTES = 64
 
+#: Words that the tokenizer gets as one text.
+TOGETHER = 1_000
+
 #: Open windows merged by one task at the end.
 MERGED_WINDOWS = 4096
 
@@ -52,20 +56,39 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
-
-    def _tokenize(self, chunks: list[bytes]) -> list[bytes]:
-        # a batch on threads costs more processor time than one call for each chunk
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = None
+        if suffix:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+            self.ends[[n for token, n in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+
+    def _tokenize(self, chunks: Iterable[bytes]) -> dict[bytes, bytes]:
+        """Ids of chunks. Those of ASCII letters alone are one word each, so many of them
+        go as one text, of which a token that ends a word ends the chunk's ids."""
+        # a batch on threads costs more processor time than one call for each text
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        found = self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-        return [array("I", f.ids).tobytes() for f in found]
+        words, others, ids = [], [], {}
+        for c in chunks:
+            (words if self.ends is not None and c.isalpha() else others).append(c)
+        groups = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        texts = [b" ".join(g).decode() for g in groups] + [c.decode() for c in others]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for group, encoded in zip(groups, found):
+            own = np.array(encoded.ids, dtype="<u4")
+            raw, start = own.tobytes(), 0
+            for c, end in zip(group, (4 * np.flatnonzero(self.ends[own]) + 4).tolist(), strict=True):
+                ids[c] = raw[start:end]
+                start = end
+        for c, encoded in zip(others, found[len(groups) :]):
+            ids[c] = array("I", encoded.ids).tobytes()
+        return ids
 
     def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
         """Remember new chunks; gives the ids of those too long for it."""
         stopped = [c for c in chunks if len(c) > 1 and c[-1] in b".," and c[-2] in _ALNUM]
         # the whole memory may be dropped, so parts of a chunk are taken anew
         parts = {p for c in stopped for p in (c[:-1], c[-1:])}
-        asked = list(parts.union(chunks.difference(stopped)))
-        ids = dict(zip(asked, self._tokenize(asked)))
+        ids = self._tokenize(parts.union(chunks.difference(stopped)))
         ids.update({c: ids[c[:-1]] + ids[c[-1:]] for c in stopped})
         self.memo.update((c, i) for c, i in ids.items() if len(c) <= MEMO_BYTES)
         return {c: i for c, i in ids.items() if len(c) > MEMO_BYTES}
