@@ -10,6 +10,7 @@ fill windows up.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -23,7 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from touchline.llm.common import _slices, small_batches, stored, worker_cache
 
-#: Chunks of text whose ids a worker remembers; beyond it, it starts anew.
+#: Chunks of text whose ids a worker remembers, those used last.
 MEMO_CHUNKS = 300_000
 MEMO_BYTES = 64
 
@@ -37,7 +38,10 @@ _PIECE = (
     "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 )
 
-_ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+# Letters that stay one letter each when they are composed and lower-cased.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ſ]+")
+_ALNUM = b"abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_STOPS = (b".", b",")
 
 
 class Encoder:
@@ -48,7 +52,7 @@ class Encoder:
     may go first, unless the text may name a special token or has combining marks. A stop or comma at the
     end of a chunk is a token of its own behind an ASCII letter or digit; any other
     chunk is left whole to the tokenizer, which gets all new chunks of many texts
-    in one call. Short chunks are remembered.
+    in one call. Short chunks are remembered; of two generations the older one goes.
     """
 
     def __init__(self, path: str) -> None:
@@ -56,6 +60,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = None
         if suffix:
@@ -63,13 +68,14 @@ class Encoder:
             self.ends[[n for token, n in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
 
     def _tokenize(self, chunks: Iterable[bytes]) -> dict[bytes, bytes]:
-        """Ids of chunks. Those of ASCII letters alone are one word each, so many of them
+        """Ids of chunks. Those of Latin letters alone are one word each, so many of them
         go as one text, of which a token that ends a word ends the chunk's ids."""
         # a batch on threads costs more processor time than one call for each text
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         words, others, ids = [], [], {}
+        one_word = _LETTERS.fullmatch
         for c in chunks:
-            (words if self.ends is not None and c.isalpha() else others).append(c)
+            (words if self.ends is not None and (c.isalpha() or one_word(c.decode())) else others).append(c)
         groups = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
         texts = [b" ".join(g).decode() for g in groups] + [c.decode() for c in others]
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -85,17 +91,22 @@ class Encoder:
 
     def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
         """Remember new chunks; gives the ids of those too long for it."""
-        stopped = [c for c in chunks if len(c) > 1 and c[-1] in b".," and c[-2] in _ALNUM]
-        # the whole memory may be dropped, so parts of a chunk are taken anew
-        parts = {p for c in stopped for p in (c[:-1], c[-1:])}
-        ids = self._tokenize(parts.union(chunks.difference(stopped)))
-        ids.update({c: ids[c[:-1]] + ids[c[-1:]] for c in stopped})
-        self.memo.update((c, i) for c, i in ids.items() if len(c) <= MEMO_BYTES)
-        return {c: i for c, i in ids.items() if len(c) > MEMO_BYTES}
+        stopped = [c for c in chunks if c.endswith(_STOPS) and c[-2:-1] in _ALNUM and len(c) > 1]
+        # memory may have dropped the parts of a chunk, so they are taken anew
+        parts = {c[:-1] for c in stopped}
+        ids = self._tokenize(parts.union(chunks.difference(stopped), _STOPS))
+        stops = {ord(stop): ids[stop] for stop in _STOPS}
+        for c in stopped:
+            ids[c] = ids[c[:-1]] + stops[c[-1]]
+        long = {c: i for c, i in ids.items() if len(c) > MEMO_BYTES}
+        self.memo.update(ids)
+        for c in long:
+            del self.memo[c]
+        return long
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        if len(self.memo) > MEMO_CHUNKS:
-            self.memo.clear()
+        if len(self.memo) > MEMO_CHUNKS // 2:
+            self.memo, self.older = {}, self.memo
         split = []
         for text in texts:
             raw = (text or "").encode()
@@ -103,6 +114,9 @@ class Encoder:
             as_is = b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw
             split.append((raw if as_is else raw.lower()).split())
         new = set().union(*split) - self.memo.keys()
+        for c in new & self.older.keys():
+            self.memo[c] = self.older[c]
+        new -= self.memo.keys()
         long = self._learn(new) if new else {}
         find = self.memo.__getitem__ if not long else lambda c: long[c] if len(c) > MEMO_BYTES else self.memo[c]
         return [b"".join(map(find, chunks)) for chunks in split]
