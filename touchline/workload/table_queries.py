@@ -17,6 +17,7 @@ from touchline.session import scratch_dir
 from touchline.sources import lake, objects, seasons, sinks
 from touchline.sources.files import unreadable_files
 from touchline.sources.pages import with_elements
+from touchline.streaming import incremental
 from touchline.workload import oracle as o
 from touchline.workload.registry import query
 from touchline.workload.scalar_queries import _LATEST_STATE
@@ -884,6 +885,24 @@ def m7(spark, sf):
     return landed.join(sinks.read_state(spark, f"{root}/state").select("match_id", "status"), "match_id")
 
 
+@query("m7_ingest_stream", o.with_(o.MATCHES, _PLACED) + """SELECT match_id, own_season AS season, own_week AS matchweek, home_team,
+  coalesce(home_score, 4) AS home_score, CASE WHEN home_score IS NULL THEN 2 ELSE 1 END AS n_landed, 'PLAYED' AS status FROM placed""")
+def m7_stream(spark, sf):
+    """The ingest as a stream over page files, in two turns: the second one finds new
+    files, and lands the matches only that are not finished."""
+    root, files = scratch_dir(spark, "m7_stream"), scratch_dir(spark, "m7_pages")
+    seasons_of = _season_table(spark, sf)
+    for pages in (_all_pages(spark, sf), _recaptured(spark, sf)):
+        pages.where("tab = 'stats'").write.mode("append").parquet(files)
+        incremental.ingest_stream(spark, files, root, None, f"{root}/progress", seasons_of).awaitTermination()
+    landed = spark.read.schema(jobs.BRONZE_TABLE).parquet(f"{root}/bronze")
+    newest = dedupe.keep_last(landed, ["match_id"], ["ingested_at"])
+    info = F.col("match_info")
+    newest = newest.select("match_id", "season", "matchweek", info["home_team"].alias("home_team"), info["home_score"].cast("int").alias("home_score"))
+    counts = landed.groupBy("match_id").agg(F.count("*").cast("int").alias("n_landed"))
+    return newest.join(counts, "match_id").join(sinks.read_state(spark, f"{root}/state").select("match_id", "status"), "match_id")
+
+
 _MASTER_TEAMS = ("NATION_3", "NATION_4")
 _AFTER = """visited AS (SELECT match_id, own_season AS season, own_week AS matchweek, home_team, away_team, date, venue,
   coalesce(home_score, 4) AS home_score, CASE WHEN home_score IS NULL THEN 1 ELSE away_score END AS away_score,
