@@ -66,6 +66,22 @@ class Encoder:
         if suffix:
             self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
             self.ends[[n for token, n in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        self.words = self._of_words(path)
+
+    def _of_words(self, path: str):
+        """The tokenizer without what lower-cased words of Latin letters do not need, if
+        it then treats such words alike: no normalising, and words parted at blanks."""
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        plain = Tokenizer.from_file(path)
+        plain.normalizer = normalizers.Sequence([])
+        plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        letters = "".join(filter(_LETTERS.fullmatch, map(chr, range(0x41, 0x180))))
+        probe = [letters, letters.lower(), " ".join(letters), " ".join(a + b for a, b in zip(letters, letters[7:] + letters))]
+        alike = all(plain.encode(t.lower(), add_special_tokens=False).ids == self.tokenizer.encode(t, add_special_tokens=False).ids for t in probe)
+        return plain if alike else self.tokenizer
 
     def _tokenize(self, chunks: Iterable[bytes]) -> dict[bytes, bytes]:
         """Ids of chunks. Those of Latin letters alone are one word each, so many of them
@@ -77,8 +93,8 @@ class Encoder:
         for c in chunks:
             (words if self.ends is not None and (c.isalpha() or one_word(c.decode())) else others).append(c)
         groups = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
-        texts = [b" ".join(g).decode() for g in groups] + [c.decode() for c in others]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        found = self.words.encode_batch_fast([b" ".join(g).decode().lower() for g in groups], add_special_tokens=False)
+        found += self.tokenizer.encode_batch_fast([c.decode() for c in others], add_special_tokens=False)
         for group, encoded in zip(groups, found):
             own = np.array(encoded.ids, dtype="<u4")
             raw, start = own.tobytes(), 0
