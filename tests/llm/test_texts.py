@@ -119,6 +119,28 @@ def test_encoder_that_forgets(monkeypatch):
     assert [coder.encode([t])[0] for t in texts] == whole.encode(texts)
 
 
+def test_signs_behind_words_tokenize_alike():
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    own, pick = Tokenizer.from_file(path), random.Random(22)
+    parts = [*map(chr, range(33, 127)), *"éÉßİŉſſ×÷\u0301\u0338\u3099\xa0 \n\t", "'s", "'re", "<|endoftext|>", "mail", "Ünô", "42", ".***", "\r\n"]
+    texts = ["".join(pick.choice(parts) for _ in range(pick.randint(0, 18))) for _ in range(6_000)]
+    coder = packing.Encoder(path)
+    for at in range(0, len(texts), 500):
+        for text, ids in zip(texts[at : at + 500], coder.encode(texts[at : at + 500])):
+            assert np.frombuffer(ids, dtype="<u4").tolist() == own.encode(text, add_special_tokens=False).ids, text
+
+
+def test_known_words_are_not_tokenized_again_for_their_signs(monkeypatch):
+    coder, sent = packing.Encoder(P.path("word_bpe_49k.json")), []
+    coder.encode(["alpha béta gamma"])
+    tokenize = coder._tokenize
+    monkeypatch.setattr(coder, "_tokenize", lambda chunks: tokenize([sent.append(c) or c for c in chunks]))
+    coder.encode(["Alpha!! béta,%%% gamma. alpha.***"])
+    assert sent and not any(c.decode()[0].isalpha() for c in sent), sent
+
+
 # --- personal data ---------------------------------------------------------------
 
 
