@@ -186,3 +186,17 @@ def test_objects_lie_at_their_paths(spark, tmp_path):
     with pytest.raises(Exception):
         objects.write_objects(bad.repartition(4, "match_id"), root, F.col("at"))
     assert not (tmp_path / "lake/new").exists() and not (tmp_path / "lake" / objects.STAGING).exists()
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    sc, path = spark.sparkContext, str(tmp_path / "parted")
+    most = 4 * sc.defaultParallelism
+    rows = spark.range(most + 40)
+    rows.withColumn("part", F.col("id")).coalesce(1).write.partitionBy("part").parquet(path)
+    sc.setJobGroup("listing", "folders of a table")
+    table = spark.read.schema("id long, part long").parquet(path)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert 0 < max(tracker.getStageInfo(s).numTasks for s in stages) <= most
+    assert table.count() == most + 40
