@@ -37,3 +37,10 @@ def test_lineups_of_many_players(spark):
     found = extracted(spark, box("home") + box("away"), extract.lineups_tab(F.col("elements"), F.col("visible_text")), 12)
     for side in ("home", "away"):
         assert [(p["name"], p["number"]) for p in found[side]["starting_xi"]] == [(f"P {i}", str(i)) for i in range(1500)]
+
+
+def test_cards_of_many_matches(spark):
+    card = """<div class="match-list-item"><div class="match-list-item__date">{0} May</div><a class="match-card" href="/match/{0}"><span
+      class="team-name">H{0}</span><span class="team-name">A{0}</span><div class="score">{0}-1</div></a></div><a href="/match/{0}">again</a>"""
+    found = extracted(spark, "".join(map(card.format, range(400))), extract.match_cards(F.col("elements")), 12)
+    assert [tuple(c) for c in found] == [(i, f"H{i}", f"A{i}", i, 1, f"{i} May") for i in range(400)]
