@@ -44,3 +44,13 @@ def test_cards_of_many_matches(spark):
       class="team-name">H{0}</span><span class="team-name">A{0}</span><div class="score">{0}-1</div></a></div><a href="/match/{0}">again</a>"""
     found = extracted(spark, "".join(map(card.format, range(400))), extract.match_cards(F.col("elements")), 12)
     assert [tuple(c) for c in found] == [(i, f"H{i}", f"A{i}", i, 1, f"{i} May") for i in range(400)]
+
+
+def stats_table(n):
+    row = '<tr class="match-stats__table-row"><td class="match-stats__table-cell">{0}</td><td class="match-stats__table-cell name">N{0}</td><td class="match-stats__table-cell">7</td></tr>'
+    return f'<div class="section">Attack<table>{"".join(map(row.format, range(n)))}</table></div>'
+
+
+def test_rows_of_many_statistics(spark):
+    found = extracted(spark, stats_table(6000), F.map_keys(extract.stat_rows(F.col("elements"))), 8)
+    assert found == [f"N{i}" for i in range(6000)]
