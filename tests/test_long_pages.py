@@ -1,5 +1,6 @@
 """Pages of any length: selectors look into an element, not at the whole page for each."""
 
+import json
 import time
 
 import pytest
@@ -61,3 +62,8 @@ def test_many_goals(spark):
     html = f'<ul data-testid="homeTeamGoals">{"".join(map(goal.format, range(6000)))}</ul>'
     found = extracted(spark, html, extract.match_events(F.col("elements")), 8)
     assert [(g["scorer"], g["assist"]) for g in found["home_goals"]] == [(f"S{i}", f"A{i}") for i in range(6000)]
+
+
+def test_categories_of_many_statistics(spark):
+    found = extracted(spark, stats_table(3000), extract.stats_by_category(F.col("elements")), 8)
+    assert json.loads(found["attack"]) == {f"N{i}": {"home": str(i), "away": "7"} for i in range(3000)}
