@@ -35,3 +35,22 @@ def test_masters_read_stored_silver(spark, tables):
     silver = [r for r in rows if r["master"] == "silver"]
     assert sorted(r["match_id"] for r in silver) == list(range(ORDERS)) and all(r["referee"] == "1-URGENT" for r in silver)
     assert {r["team"] for r in rows if r["master"] == "gold"} == {"NATION_3", "NATION_4"}
+
+
+def test_formats_may_be_packed(spark, tmp_path):
+    stats = {f"Stat {n}": '{"home": "1", "away": "2"}' for n in range(30)}
+    docs = spark.createDataFrame([(i, {"home_team": "A", "away_team": "B"}, stats) for i in range(300)],
+                                 "match_id long, match_info map<string,string>, statistics map<string,string>")
+    sizes = []
+    for kind in ("none", "gzip"):
+        made = sinks.write_formats(docs, f"{tmp_path}/{kind}", ("json", "csv"), kind)
+        rows = lake.read_csv_table(spark, made["csv"], {"match_id": "bigint"})
+        assert rows.count() == 9000 == sinks.long_rows(lake.read_documents(spark, made["json"], multi_line=False)).count()
+        sizes.append(sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(f"{tmp_path}/{kind}") for f in names))
+    assert sizes[1] < sizes[0] / 5
+
+
+def test_formats_are_compared_in_one_shuffle(spark, tables):
+    df = QUERIES["k7_write_multi_format"](spark, tables)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") <= 1
+    assert df.count() == 7 * ORDERS
