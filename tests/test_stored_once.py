@@ -54,3 +54,16 @@ def test_formats_are_compared_in_one_shuffle(spark, tables):
     df = QUERIES["k7_write_multi_format"](spark, tables)
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") <= 1
     assert df.count() == 7 * ORDERS
+
+
+def test_reserved_statistics_are_told_from_stored_silver(spark, tmp_path):
+    from touchline.plans import medallion as jobs
+
+    for i, home in ((1, "9"), (2, None)):
+        stats = '{"Score": {"home": "%s"}, "Shots": {"home": "3"}}' % home if home else "{}"
+        (tmp_path / f"{i}.json").write_text('{"match_id": %d, "season": "2025/26", "matchweek": 1, "match_info": {}, "statistics": %s}' % (i, stats))
+    root = str(tmp_path / "lake")
+    jobs.run_medallion(spark, root, None, None, documents=lake.read_documents(spark, str(tmp_path)), all_teams=True, stamp="1")
+    assert "reserved" in spark.read.parquet(f"{root}/delta/silver/run_id=1").columns
+    assert [tuple(r) for r in spark.read.parquet(f"{root}/reserved_stats/run_id=1").collect()] == [(1, "Score", "score")]
+    assert "reserved" not in spark.read.parquet(f"{root}/silver").columns
