@@ -67,3 +67,30 @@ def test_reserved_statistics_are_told_from_stored_silver(spark, tmp_path):
     assert "reserved" in spark.read.parquet(f"{root}/delta/silver/run_id=1").columns
     assert [tuple(r) for r in spark.read.parquet(f"{root}/reserved_stats/run_id=1").collect()] == [(1, "Score", "score")]
     assert "reserved" not in spark.read.parquet(f"{root}/silver").columns
+
+
+def test_newest_captures_leave_stored_pages_where_they_lie(spark, tmp_path):
+    from touchline.operators.extract import newest_captures
+    from touchline.schemas import RAW_PAGES
+
+    at = lambda day: day and dt.datetime(2025, 1, day)
+    rows = [(m, tab, f"{m}{tab}{day}{n}", "", at(day)) for m in [*range(700), None] for tab in ("main", None) for day in (1, 2, 3) for n in (0, 1) if day < 3 or m != 5]
+    rows += [(9999, "main", "no time", "", None), (9998, "main", "some time", "", at(1)), (9998, "main", "none", "", None)]
+    spark.createDataFrame(rows, RAW_PAGES).repartition(3).write.parquet(f"{tmp_path}/p")
+    pages = spark.read.schema(RAW_PAGES).parquet(f"{tmp_path}/p")
+    kept = newest_captures(pages, stored=True)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, newest_captures(pages).collect()))
+    assert kept.columns == pages.columns and kept.where("html like '57%' or match_id = 5").count() > 0
+    # the pages are joined as they are read, with the bitmaps
+    plan = kept._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.index("BroadcastHashJoin") < plan.index("bitmap_construct_agg")
+
+
+def test_bitmaps_reach_over_blocks_of_a_file(spark, tmp_path):
+    from touchline.operators.extract import newest_captures
+
+    day = lambda c: f"timestamp '2025-01-01' + make_interval(0, 0, 0, {c})"
+    rows = spark.range(0, 100_000, 1, 1).selectExpr("id % 40000 as match_id", "'main' as tab", "string(id) as html", "'' as visible_text", f"{day('int(id div 40000)')} as fetched_at")
+    rows.write.parquet(f"{tmp_path}/p")
+    kept = newest_captures(spark.read.schema(rows.schema).parquet(f"{tmp_path}/p"), stored=True)
+    assert {int(r[0]) for r in kept.select("html").collect()} == set(range(60_000, 100_000))
