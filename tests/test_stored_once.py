@@ -94,3 +94,22 @@ def test_bitmaps_reach_over_blocks_of_a_file(spark, tmp_path):
     rows.write.parquet(f"{tmp_path}/p")
     kept = newest_captures(spark.read.schema(rows.schema).parquet(f"{tmp_path}/p"), stored=True)
     assert {int(r[0]) for r in kept.select("html").collect()} == set(range(60_000, 100_000))
+
+
+def test_many_small_files_are_read_by_few_tasks(spark, tmp_path):
+    spark.range(0, 600, 1, 300).write.parquet(f"{tmp_path}/small")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        tasks = spark.read.schema("id long").parquet(f"{tmp_path}/small").rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert tasks <= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_a_smaller_cost_of_opening_stays(spark):
+    from touchline import configure
+
+    name = "spark.sql.files.openCostInBytes"
+    for given, kept in (("1k", 1024), (str(2**30), 65536), ("4MB", 65536)):
+        spark.conf.set(name, given)
+        assert int(configure(spark).conf.get(name)) == kept
